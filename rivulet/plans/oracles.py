@@ -131,7 +131,394 @@ left join converted using (reading_id)
 left join cells on cells.update_id = a_geo.update_id
 """
 
+_PACKETS = """
+raw_packets as (
+  select event_id,
+    case event_id % 5
+      when 0 then '{"n":"S' || cast(user_id as varchar) || '","t":'
+        || cast(1704067200 + event_id * 60 as varchar) || ',"v":' || cast(value as varchar) || '}'
+      when 1 then '{"externalDeviceId":"DEV' || cast(user_id as varchar) || '","timestamp":"2024-01-'
+        || lpad(cast(event_id % 28 + 1 as varchar), 2, '0') || 'T'
+        || lpad(cast(event_id % 24 as varchar), 2, '0') || ':00:00.250Z","decoded":{"level":'
+        || cast(value as varchar) || ',"temp":' || cast(event_id % 30 as varchar)
+        || ',"Interrupt_status":1}}'
+      when 2 then '{"hardware_serial":"TTN' || cast(user_id as varchar) || '","timestamp":"2024-01-'
+        || lpad(cast(event_id % 28 + 1 as varchar), 2, '0') || 'T'
+        || lpad(cast(event_id % 24 as varchar), 2, '0') || ':30:00.000Z","payload_fields":{"flow":'
+        || cast(value as varchar) || '}}'
+      when 3 then '{"other":"' || event_type || '"}'
+      else '{"n":"S' || cast(user_id as varchar) || '","t":' end as value
+  from events
+), packets as (
+  select event_id, value, case when json_valid(value) then value else '{}' end as j, json_valid(value) as ok
+  from raw_packets
+)"""
+
+_SENML = """
+select event_id, lower(j ->> '$.n') as sensorid,
+  make_timestamp(cast(j ->> '$.t' as bigint) * 1000000) as timestamp, cast(j ->> '$.v' as double) as rawValue
+from packets where json_exists(j, '$.n')
+"""
+
+
+def _device_packets(device: str, payload: str, where: str) -> str:
+    return f"""
+select event_id, lower(j ->> '$.{device}') || '-' || k as sensorid,
+  strptime(j ->> '$.timestamp', '%Y-%m-%dT%H:%M:%S.%gZ') as timestamp,
+  cast(json_extract_string(j, '$.{payload}.' || k) as double) as rawValue
+from (
+  select event_id, j, unnest(json_keys(j, '$.{payload}')) as k
+  from packets where json_exists(j, '$.{device}') and not json_exists(j, '$.n')
+) where {where}
+"""
+
+
+_ATLAS = _device_packets("externalDeviceId", "decoded", "k <> 'Interrupt_status'")
+_TTN = _device_packets("hardware_serial", "payload_fields", "true")
+
+
+def _packets(body: str) -> str:
+    return f"""
+with {_PACKETS}
+select event_id, sensorid, timestamp, round(rawValue, 4) as rawValue from ({body})
+"""
+
+
+_MS = "make_timestamp(epoch_us(ts) // 1000 * 1000)"
+
+_CELL_READINGS = """
+cell_readings as (
+  select event_id as reading_id, 's' || cast(user_id as varchar) as sensorid, {cell} as gridCell,
+    ts as timestamp, value as conValue
+  from events
+)"""
+
+
+def _neighbor_mean(cell: str) -> str:
+    """Latest reading of every sensor before each probe, by a correlated join.
+
+    A reading is its sensor's latest one from its own time until the next.
+    """
+    return f"""
+with {_CELL_READINGS.format(cell=cell)}, spans as (
+  select *, lead(timestamp) over (partition by sensorid order by timestamp, reading_id) as until
+  from cell_readings
+), means as (
+  select r.reading_id, r.sensorid, r.gridCell, r.timestamp, r.conValue,
+    cast(sum(cast(o.conValue as decimal(28, 6))) as double) / count(*) as cellMean
+  from cell_readings r join spans o on o.gridCell = r.gridCell
+    and o.timestamp <= r.timestamp and (o.until is null or o.until > r.timestamp)
+  group by all
+)"""
+
+
+_CELL = "user_id % 7"
+_MEANS = _neighbor_mean(_CELL)
+
+
+def _neighbor_alerts(threshold: int) -> str:
+    return _MEANS + f"""
+select reading_id, sensorid, timestamp, round(conValue, 8) as value,
+  round(cellMean - {threshold}, 8) as lower, round(cellMean + {threshold}, 8) as upper
+from means where abs(cellMean - conValue) > {threshold}
+"""
+
+
+def _expanded(sensor: str, size_s: int, slide_s: int) -> str:
+    """Every reading once for each window that holds it."""
+    return f"""
+expanded as (
+  select event_id as reading_id, {sensor} as sensorid, ts as timestamp, value as v,
+    unnest(generate_series(
+      (epoch_us(ts) // {slide_s}000000) * {slide_s} - {size_s} + {slide_s},
+      (epoch_us(ts) // {slide_s}000000) * {slide_s}, {slide_s})) as start_s
+  from events
+)"""
+
+
+def _window_times(size_s: int) -> str:
+    return (
+        "make_timestamp(start_s * 1000000) as window_start, "
+        f"make_timestamp((start_s + {size_s}) * 1000000) as window_end"
+    )
+
+
+def _sliding_counts(sensor: str) -> str:
+    return f"""
+with {_expanded(sensor, 7200, 300)}
+select sensorid, {_window_times(7200)}, count(*) as n from expanded group by sensorid, start_s
+"""
+
+
+def _forecasts(size_s: int, slide_s: int) -> str:
+    """Row-wise estimator: lags inside each window, then sums per window."""
+    return f"""
+with {_expanded("event_type", size_s, slide_s)}, sized as (
+  select *, row_number() over w as pos, count(*) over (partition by sensorid, start_s) as n
+  from expanded window w as (partition by sensorid, start_s order by timestamp, reading_id)
+), diffs as (
+  select *, v - lag(v) over (partition by sensorid, start_s order by pos) as d from sized
+), centred as (
+  -- differences of the history only; the last reading is the one to forecast
+  select sensorid, start_s, pos - 1 as t, n - 2 as m,
+    d - avg(d) over (partition by sensorid, start_s) as c,
+    avg(d) over (partition by sensorid, start_s) as mu
+  from diffs where pos > 1 and pos < n and n > 6
+), lagged as (
+  select *, lag(c) over (partition by sensorid, start_s order by t) as c1 from centred
+), stage1 as (
+  select sensorid, start_s, sum(c * c1) / nullif(sum(c1 * c1), 0) as ar from lagged group by all
+), residuals as (
+  select l.*, case when l.t = 1 then 0 else l.c - s.ar * l.c1 end as e
+  from lagged l join stage1 s using (sensorid, start_s)
+), regress as (
+  select *, lag(e) over (partition by sensorid, start_s order by t) as e1 from residuals
+), moments as (
+  select sensorid, start_s, sum(c1 * c1) as xx, sum(c1 * e1) as xe, sum(e1 * e1) as ee,
+    sum(c * c1) as xy, sum(c * e1) as ey
+  from regress where t >= 3 group by all
+), coefficients as (
+  select sensorid, start_s,
+    greatest(-0.99, least(0.99, (xy * ee - ey * xe) / (xx * ee - xe * xe))) as phi,
+    greatest(-0.99, least(0.99, (ey * xx - xy * xe) / (xx * ee - xe * xe))) as theta
+  from moments where xx * ee - xe * xe > 0 and xx * ee - xe * xe > 1e-6 * xx * ee
+), errors as (
+  select r.sensorid, r.start_s, r.t, r.m, r.c, r.mu, k.phi, k.theta, r.c - k.phi * r.c1 - k.theta * r.e1 as err
+  from regress r join coefficients k using (sensorid, start_s) where r.t >= 3
+), fitted as (
+  select sensorid, start_s, any_value(m) as m, sqrt(sum(err * err) / (any_value(m) - 4)) as sigma,
+    max(case when t = m then mu + phi * c + theta * err end) as step
+  from errors group by sensorid, start_s
+), forecasts as (
+  select f.sensorid, {_window_times(size_s).replace("start_s", "f.start_s")}, z.timestamp, z.n, z.v as last,
+    y.v + f.step as forecast, y.v + f.step - 1.96 * f.sigma as lower, y.v + f.step + 1.96 * f.sigma as upper
+  from fitted f
+  join sized z on z.sensorid = f.sensorid and z.start_s = f.start_s and z.pos = z.n
+  join sized y on y.sensorid = f.sensorid and y.start_s = f.start_s and y.pos = y.n - 1
+)"""
+
+
+def _forecast_rows(size_s: int, slide_s: int) -> str:
+    return _forecasts(size_s, slide_s) + """
+select sensorid, window_start, window_end, timestamp, n, round(last, 4) as last,
+  round(forecast, 4) as forecast, round(lower, 4) as lower, round(upper, 4) as upper
+from forecasts
+"""
+
+
+_SEVERITY = """
+case when hi = lo then null when value < lo then (lo - value) / (hi - lo) else (value - hi) / (hi - lo) end"""
+_BOUNDS = "cast(event_id % 40 as double) as lo, cast(event_id % 40 + event_id % 11 as double) as hi"
+
 ORACLES: dict[str, str] = {
+    "decode_raw_valid": f"with {_PACKETS} select event_id, value from packets where ok",
+    "parse_senml": _packets(_SENML),
+    "parse_atlas": _packets(_ATLAS),
+    "parse_ttn": _packets(_TTN),
+    "parse_packets": _packets(f"({_SENML}) union all ({_ATLAS}) union all ({_TTN})"),
+    "parse_rejects": f"""
+with {_PACKETS}
+select event_id, value, case when ok then 'unknown_format' else 'not_json' end as reason
+from packets
+where not json_exists(j, '$.n') and not json_exists(j, '$.externalDeviceId')
+  and not json_exists(j, '$.hardware_serial')
+""",
+    "decode_reading": f"""
+select event_id, 's' || cast(user_id as varchar) as sensorid, {_MS} as timestamp,
+  round(value, 4) as rawValue,
+  case event_id % 4 when 0 then '52.5,13.4' else 'UNKNOWN' end as location,
+  case event_id % 4 when 0 then 'level' else 'UNKNOWN' end as type,
+  case event_id % 4 when 0 then 'mm' when 2 then 'l/s' else 'UNKNOWN' end as unit,
+  case event_id % 4 when 0 then round(value, 4) else -99.0 end as conValue,
+  cast(case event_id % 4 when 0 then event_id % 50 else 999 end as bigint) as gridCell
+from events where event_id % 4 <> 3
+""",
+    "decode_update": f"""
+select event_id, 's' || cast(user_id as varchar) as sensorid, {_MS} as timestamp,
+  case event_id % 4 when 0 then 'unit' when 1 then 'conversion' else 'cell' end as parameter,
+  case event_id % 4 when 0 then 'mm' when 1 then '[(0, 0),(10,' || cast(event_id % 90 as varchar) || ')]'
+    else cast(event_id % 7 as varchar) end as value
+from events where event_id % 4 <> 3
+""",
+    "decode_alert": f"""
+select event_id, 's' || cast(user_id as varchar) as sensorid, {_MS} as timestamp,
+  round(value, 4) as value, lo as lower, hi as upper
+from (select *, {_BOUNDS} from events) where event_id % 3 <> 2
+""",
+    "encode_reading": f"""
+with {_READINGS}
+select reading_id, sensorid as key, sensorid, make_timestamp(epoch_us(timestamp) // 1000 * 1000) as timestamp,
+  round(rawValue, 4) as rawValue, 'HERE' as location, 'WGS_DEV' as type, 'UNKNOWN' as unit,
+  round(rawValue, 4) as conValue, cast(999 as bigint) as gridCell
+from readings
+""",
+    "encode_update": f"""
+with {_UPDATES}
+select update_id, sensorid as key, sensorid, make_timestamp(epoch_us(timestamp) // 1000 * 1000) as timestamp,
+  parameter, value
+from updates
+""",
+    "encode_alert": f"""
+select event_id, 's' || cast(user_id as varchar) as key, 's' || cast(user_id as varchar) as sensorid,
+  {_MS} as timestamp, round(value, 4) as value, lo as lower, hi as upper
+from (select *, {_BOUNDS} from events)
+""",
+    "fake_enrich": f"""
+with {_READINGS}
+select reading_id, sensorid, timestamp, round(rawValue, 4) as rawValue, 'HERE' as location,
+  'WGS_DEV' as type, round(rawValue, 4) as conValue, 'UNKNOWN' as unit, cast(999 as bigint) as gridCell
+from readings
+""",
+    "parse_curve_points": f"""
+with {_UPDATES}, {_CURVES}
+select update_id, pos, round(x, 4) as x, round(y, 4) as y
+from curve_points where update_id in (select update_id from good_curves)
+""",
+    "convert_values": """
+select event_id, round(case
+  when value < 1 or value > 300 then -99.0
+  when value < 50.5 then (value - 1) * (event_id % 90 + 1) / 49.5
+  else event_id % 90 + 1 + (value - 50.5) * 199 / 249.5 end, 4) as conValue
+from events
+""",
+    "assign_cell": f"""
+with {_UPDATES}, {_CELLS}
+select update_id, value, cast(coalesce(cell, 999) as bigint) as gridCell from cells
+""",
+    "alert_severity": f"""
+select event_id, round({_SEVERITY}, 6) as severity from (select *, {_BOUNDS} from events)
+""",
+    "alert_messages": f"""
+select event_id, 's' || cast(user_id as varchar) as sensorid, ts as timestamp,
+  'Value ' || cast(round(value, 6) as varchar) || ' outside of confidence interval by '
+    || coalesce(cast(round({_SEVERITY}, 6) as varchar), 'NaN') as message
+from (select *, {_BOUNDS} from events)
+""",
     "enrich_asof": _ENRICH,
     "enrich_asof_split": _ENRICH,
+    "lookup_asof": f"""
+with {_READINGS}, {_UPDATES}, probes as (
+  select *, unnest(['type', 'unit']) as parameter from readings
+)
+select p.reading_id, p.sensorid, p.timestamp, p.parameter, u.value
+from probes p asof left join updates u
+  on p.sensorid = u.sensorid and p.parameter = u.parameter and p.timestamp > u.timestamp
+""",
+    "latest_parameters": f"""
+with {_UPDATES}
+select sensorid, parameter, arg_max(value, timestamp) as value, max(timestamp) as timestamp
+from updates group by sensorid, parameter
+""",
+    "param_versions": f"""
+with {_UPDATES}, ranked as (
+  select *, row_number() over (partition by sensorid, parameter order by timestamp desc) as k from updates
+)
+select sensorid, parameter,
+  max(timestamp) filter (k = 1) as current_ts, max(value) filter (k = 1) as current_value,
+  max(timestamp) filter (k = 2) as previous_ts, max(value) filter (k = 2) as previous_value
+from ranked group by sensorid, parameter
+""",
+    "pivot_attributes": f"""
+with {_UPDATES}
+select sensorid, {", ".join(
+        f"arg_max(value, timestamp) filter (parameter = '{p}') as {p}"
+        for p in ("geolocation", "cell", "type", "unit", "conversion")
+    )}
+from updates group by sensorid
+""",
+    "cell_latest": f"""
+with {_CELL_READINGS.format(cell=_CELL)}
+select sensorid, gridCell, timestamp, round(conValue, 4) as conValue from (
+  select *, row_number() over (partition by sensorid order by timestamp desc) as k from cell_readings
+) where k = 1
+""",
+    "neighbor_mean": _MEANS + """
+select reading_id, sensorid, gridCell, timestamp, round(conValue, 8) as conValue,
+  round(cellMean, 8) as cellMean from means
+""",
+    "neighbor_mean_split": _MEANS + """
+select reading_id, sensorid, gridCell, timestamp, round(conValue, 8) as conValue,
+  round(cellMean, 8) as cellMean from means
+""",
+    "neighbor_mean_moving": _neighbor_mean("(user_id % 7 + event_id // 50) % 7") + """
+select reading_id, sensorid, gridCell, timestamp, round(conValue, 8) as conValue,
+  round(cellMean, 8) as cellMean from means
+""",
+    "neighbor_alerts": _neighbor_alerts(60),
+    "neighbor_alerts_default": _neighbor_alerts(10),
+    "neighbor_snapshot": f"""
+with {_CELL_READINGS.format(cell=_CELL)}, latest as (
+  select * from (
+    select *, row_number() over (partition by sensorid order by timestamp desc) as k from cell_readings
+  ) where k = 1
+), compared as (
+  select l.sensorid, l.gridCell, l.timestamp, l.conValue,
+    (select cast(sum(cast(o.conValue as decimal(28, 6))) as double) / count(*) from latest o
+     where o.gridCell = l.gridCell and o.sensorid <> l.sensorid) as cellMean
+  from latest l
+)
+select sensorid, gridCell, timestamp, round(conValue, 8) as conValue, round(cellMean, 8) as cellMean,
+  round(conValue - cellMean, 8) as deviation
+from compared
+""",
+    "sliding_counts": _sliding_counts("event_type"),
+    "sliding_counts_by_sensor": _sliding_counts("'s' || cast(user_id as varchar)"),
+    "window_history_last": f"""
+with {_expanded("event_type", 7200, 300)}, ranked as (
+  select *, row_number() over (partition by sensorid, start_s order by timestamp, reading_id) as position,
+    count(*) over (partition by sensorid, start_s) as n
+  from expanded
+)
+select sensorid, {_window_times(7200)}, reading_id, timestamp, round(v, 4) as value, position, n,
+  position = n as is_last
+from ranked where n > 1
+""",
+    "arima_forecast": _forecast_rows(7200, 300),
+    "arima_forecast_half_day": _forecast_rows(43200, 3600),
+    "arima_alerts": _forecasts(7200, 300) + """
+select window_start, sensorid, timestamp, round(last, 4) as value, round(lower, 4) as lower,
+  round(upper, 4) as upper
+from forecasts where last < lower or last > upper
+""",
+    "store_measurements_first_wins": f"""
+with {_READINGS}, arrivals as (
+  select *, 0 as arrival, 'STORED' as type from readings where reading_id % 3 = 0
+  union all select *, 1, 'WGS_DEV' from readings
+  union all select *, 2, 'LATE' from readings
+)
+select reading_id, sensorid, timestamp, type, 'UNKNOWN' as unit, 'HERE' as location,
+  round(rawValue, 4) as rawValue, round(rawValue, 4) as conValue
+from (select *, row_number() over (partition by sensorid, timestamp order by arrival) as k from arrivals)
+where k = 1
+""",
+    "store_parameters_first_wins": f"""
+with {_UPDATES}, arrivals as (
+  select *, 1 as arrival from updates
+  union all select update_id, sensorid, timestamp, parameter, 'late', 2 from updates
+)
+select sensorid, timestamp, parameter, value from (
+  select *, row_number() over (partition by sensorid, parameter, timestamp order by arrival) as k from arrivals
+) where k = 1
+""",
+    "store_parameters_last_wins": f"""
+with {_UPDATES}, arrivals as (
+  select *, 1 as arrival from updates
+  union all select update_id, sensorid, timestamp, parameter, 'new ' || value, 2 from updates
+)
+select sensorid, timestamp, parameter, value from (
+  select *, row_number() over (partition by sensorid, parameter, timestamp order by arrival desc) as k
+  from arrivals
+) where k = 1
+""",
+    "store_alarms_first_wins": f"""
+with arrivals as (
+  select ts, user_id, value, {_BOUNDS}, 1 as arrival from events
+  union all select ts, user_id, value + 1000, {_BOUNDS}, 2 from events
+)
+select 's' || cast(user_id as varchar) as sensorid, ts as timestamp,
+  'Value ' || cast(round(value, 6) as varchar) || ' outside of confidence interval by '
+    || coalesce(cast(round({_SEVERITY}, 6) as varchar), 'NaN') as message
+from (select *, row_number() over (partition by user_id, ts order by arrival) as k from arrivals)
+where k = 1
+""",
 }
