@@ -48,16 +48,22 @@ def create_tables(
         )
 
 
+def stored(spark: SparkSession, table: str) -> DataFrame:
+    """Rows of a table, including those that other sessions have just written."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def append_rows(rows: DataFrame, table: str, version: int = 0) -> None:
     """Append rows without looking at what is stored."""
     keys = list(KEYS[table.split(".")[-1]])
-    stored = rows.withColumn(VERSION, F.lit(version).cast("bigint")).withColumn(
+    rows = rows.withColumn(VERSION, F.lit(version).cast("bigint")).withColumn(
         DAY, F.to_date("timestamp")
     )
-    names = stored.sparkSession.table(table).columns
+    names = rows.sparkSession.table(table).columns
     # Rebalancing makes few files per day and still splits a day that is large.
-    stored = stored.select(*names).hint("rebalance", DAY).sortWithinPartitions(DAY, *keys)
-    stored.write.insertInto(table)
+    rows = rows.select(*names).hint("rebalance", DAY).sortWithinPartitions(DAY, *keys)
+    rows.write.insertInto(table)
 
 
 def insert_first_wins(batch: DataFrame, table: str, order_by: Sequence[str] = ()) -> None:
@@ -71,11 +77,11 @@ def insert_first_wins(batch: DataFrame, table: str, order_by: Sequence[str] = ()
         low, high = first.agg(F.min("timestamp"), F.max("timestamp")).first()
         if low is None:
             return
-        stored = spark.table(table).where(
+        present = stored(spark, table).where(
             F.col("timestamp").between(F.lit(low), F.lit(high))
             & F.col(DAY).between(F.to_date(F.lit(low)), F.to_date(F.lit(high)))
         )
-        append_rows(first.join(stored.select(*keys), list(keys), "left_anti"), table, 0)
+        append_rows(first.join(present.select(*keys), list(keys), "left_anti"), table, 0)
     finally:
         first.unpersist()
 
@@ -97,7 +103,7 @@ def upsert_last_wins(
 def current_rows(spark: SparkSession, table: str) -> DataFrame:
     """One row per key: the one with the highest version."""
     keys = KEYS[table.split(".")[-1]]
-    rows = spark.table(table).drop(DAY)
+    rows = stored(spark, table).drop(DAY)
     return archive.last_wins(rows, keys, [VERSION]).drop(VERSION)
 
 
@@ -113,6 +119,6 @@ def compact(spark: SparkSession, table: str, target: str) -> None:
             f"USING parquet PARTITIONED BY ({DAY})"
         )
     keys = KEYS[source]
-    rows = archive.last_wins(spark.table(table), keys, [VERSION])
+    rows = archive.last_wins(stored(spark, table), keys, [VERSION])
     names = spark.table(target).columns
     rows.select(*names).hint("rebalance", DAY).sortWithinPartitions(DAY, *keys).write.insertInto(target)

@@ -90,7 +90,7 @@ def run_enrichment(
     if from_archive:
 
         def enrich_and_send(batch: DataFrame, batch_id: int) -> None:
-            enriched = enrich_batch(batch, batch.sparkSession.table(parameters))
+            enriched = enrich_batch(batch, tables.stored(batch.sparkSession, parameters))
             _send(encode.encode_reading(enriched), rich, batch_id)
 
         queries.append(
@@ -99,7 +99,7 @@ def run_enrichment(
     else:
         initial = None
         if cold_start:
-            initial = latest_parameters(spark.table(parameters), tables.VERSION)
+            initial = latest_parameters(tables.stored(spark, parameters), tables.VERSION)
         if wait_for_watermark:
             readings, changes = with_event_time(readings), with_event_time(changes)
         enriched = enrich_stream(readings, changes, initial, wait_for_watermark)
