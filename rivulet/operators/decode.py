@@ -20,49 +20,12 @@ STATUS_ENTRIES = ("Interrupt_status",)
 SENML, ATLAS, TTN = "senml", "atlas", "ttn"
 FORMATS = (SENML, ATLAS, TTN)
 
-_ENTRY = "struct<sensorid: string, timestamp: timestamp, rawValue: double, reason: string>"
-
-
 def decode_raw(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split raw text into JSON objects and everything else."""
     is_object = wire.json_object(F.col("value")).isNotNull()
     return df.where(is_object), df.where(~is_object)
 
 
-def _entry(sensorid: Column, timestamp: Column, text: Column, missing: Column) -> Column:
-    """One measurement, with a reason when it has to be rejected."""
-    number = text.try_cast("double")
-    reason = (
-        F.when(missing, F.lit("missing_field"))
-        .when(timestamp.isNull(), F.lit("bad_time"))
-        .when(number.isNull(), F.lit("bad_value"))
-    )
-    return F.struct(
-        sensorid.alias("sensorid"),
-        timestamp.alias("timestamp"),
-        number.alias("rawValue"),
-        reason.alias("reason"),
-    )
-
-
-def _device_entries(packet: Column, device_key: str, payload_key: str, skip: Sequence[str]) -> Column:
-    """Measurements of a packet that carries several values of one device."""
-    device = F.lower(packet[device_key])
-    timestamp = wire.packet_time(packet["timestamp"])
-    values = wire.json_object(packet[payload_key])
-    missing = device.isNull() | packet["timestamp"].isNull()
-
-    def one(item: Column) -> Column:
-        sensorid = F.concat_ws("-", device, item["key"])
-        return _entry(sensorid, timestamp, item["value"], missing | item["value"].isNull())
-
-    items = F.map_entries(values)
-    if skip:
-        items = F.filter(items, lambda item: ~item["key"].isin(*skip))
-    no_payload = F.array(_entry(device, timestamp, F.lit(None).cast("string"), F.lit(True)))
-    return F.when(values.isNull(), no_payload).otherwise(F.transform(items, one))
-
-
 def parse_entries(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Every measurement of every packet in one pass, good or bad.
 
@@ -71,43 +34,64 @@ def parse_entries(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     (``not_json``, ``unknown_format``, ``missing_field``, ``bad_time`` or
     ``bad_value``); one bad entry does not affect the others of its packet.
     """
-    packet = F.col("packet")
-    none = F.lit(None)
-    senml_missing = packet["n"].isNull() | packet["t"].isNull() | packet["v"].isNull()
-    senml = F.array(
-        _entry(F.lower(packet["n"]), wire.epoch_seconds(packet["t"]), packet["v"], senml_missing)
-    )
-
-    def rejected(reason: str) -> Column:
-        return F.array(
-            F.struct(
-                none.cast("string").alias("sensorid"),
-                none.cast("timestamp").alias("timestamp"),
-                none.cast("double").alias("rawValue"),
-                F.lit(reason).alias("reason"),
-            )
-        )
-
+    packet, kind = F.col("packet"), F.col("format")
     packet_format = (
         F.when(F.map_contains_key(packet, "n"), SENML)
         .when(F.map_contains_key(packet, "externalDeviceId"), ATLAS)
         .when(F.map_contains_key(packet, "hardware_serial"), TTN)
     )
-    entries = (
-        F.when(packet.isNull(), rejected("not_json"))
-        .when(F.col("format") == SENML, senml)
-        .when(
-            F.col("format") == ATLAS,
-            _device_entries(packet, "externalDeviceId", "decoded", STATUS_ENTRIES),
-        )
-        .when(F.col("format") == TTN, _device_entries(packet, "hardware_serial", "payload_fields", ()))
-        .otherwise(rejected("unknown_format"))
+
+    def by_format(senml: Column, atlas: Column, ttn: Column) -> Column:
+        return F.when(kind == SENML, senml).when(kind == ATLAS, atlas).when(kind == TTN, ttn)
+
+    device = by_format(packet["n"], packet["externalDeviceId"], packet["hardware_serial"])
+    time_text = by_format(packet["t"], packet["timestamp"], packet["timestamp"])
+    payload = wire.json_object(by_format(F.lit(None), packet["decoded"], packet["payload_fields"]))
+    # A SenML packet is one value without a name; the others are objects of values.
+    single = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("single").alias("value")))
+    nothing = F.array(F.lit(None).cast("struct<key: string, value: string>"))
+    items = F.when(kind == SENML, single).otherwise(F.coalesce(F.map_entries("payload"), nothing))
+    timestamp = F.when(kind == SENML, wire.epoch_seconds(F.col("time_text"))).otherwise(
+        wire.packet_time(F.col("time_text"))
     )
-    return (
+    # What holds for a whole packet is computed before its entries are taken apart.
+    packets = (
         df.select(*keep, "value", wire.json_object(F.col("value")).alias("packet"))
         .select("*", packet_format.alias("format"))
-        .select(*keep, "value", "format", F.explode(entries.cast(f"array<{_ENTRY}>")).alias("entry"))
-        .select(*keep, "value", "format", "entry.*")
+        .select("*", F.lower(device).alias("device"), time_text.alias("time_text"))
+        .select(
+            *keep,
+            "value",
+            "format",
+            packet.isNotNull().alias("is_json"),
+            "device",
+            F.col("time_text").isNotNull().alias("has_time"),
+            timestamp.alias("timestamp"),
+            packet["v"].alias("single"),
+            payload.alias("payload"),
+        )
+    )
+    entries = packets.select("*", F.explode(items).alias("item")).drop("single", "payload")
+    status = (kind == ATLAS) & F.col("item.key").isin(*STATUS_ENTRIES)
+    entries = entries.where(~F.coalesce(status, F.lit(False)))
+    key, text = F.col("item.key"), F.col("item.value")
+    number = text.try_cast("double")
+    missing = F.col("device").isNull() | ~F.col("has_time") | text.isNull()
+    reason = (
+        F.when(~F.col("is_json"), F.lit("not_json"))
+        .when(kind.isNull(), F.lit("unknown_format"))
+        .when(missing, F.lit("missing_field"))
+        .when(F.col("timestamp").isNull(), F.lit("bad_time"))
+        .when(number.isNull(), F.lit("bad_value"))
+    )
+    return entries.select(
+        *keep,
+        "value",
+        "format",
+        F.concat_ws("-", "device", key).alias("sensorid"),
+        "timestamp",
+        number.alias("rawValue"),
+        reason.alias("reason"),
     )
 
 
