@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rivulet.functions.let import let
+
 # Fixed value: one "(x,y)" pair of a curve text, one group for each number.
 POINT_PATTERN = r"(-?\d+\.*\d*),\s*(-?\d+\.*\d*)"
 
@@ -23,24 +25,34 @@ def parse_curve(text: Column) -> Column:
         ys,
         lambda x, y: F.struct(x.try_cast("double").alias("x"), y.try_cast("double").alias("y")),
     )
-    x_values = F.transform(points, lambda p: p["x"])
-    usable = (
-        (F.size(points) >= 2)
-        & F.forall(points, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
-        & (F.array_sort(F.array_distinct(x_values)) == x_values)
-    )
-    return F.when(usable, points)
+
+    def usable(p: Column) -> Column:
+        x_values = F.transform(p, lambda point: point["x"])
+        return (
+            (F.size(p) >= 2)
+            & F.forall(p, lambda point: point["x"].isNotNull() & point["y"].isNotNull())
+            & (F.array_sort(F.array_distinct(x_values)) == x_values)
+        )
+
+    return let(points, lambda p: F.when(usable(p), p))
 
 
 def interpolate(points: Column, x: Column) -> Column:
     """Value of the piecewise-linear curve at ``x``; NULL outside its closed range."""
+
+    def between(ends: Column) -> Column:
+        left, right = ends["left"], ends["right"]
+        slope = (right["y"] - left["y"]) / (right["x"] - left["x"])
+        return F.when(left["x"] == x, left["y"]).when(
+            left.isNotNull() & right.isNotNull(), left["y"] + (x - left["x"]) * slope
+        )
+
+    def ends(at_or_below: Column) -> Column:
+        # get() is zero-based: the last point at or below x, and the one after it.
+        return F.struct(
+            F.get(points, at_or_below - 1).alias("left"), F.get(points, at_or_below).alias("right")
+        )
+
     at_or_below = F.size(F.filter(points, lambda p: p["x"] <= x))
-    # get() is zero-based: the last point at or below x, and the one after it.
-    left = F.get(points, at_or_below - 1)
-    right = F.get(points, at_or_below)
-    slope = (right["y"] - left["y"]) / (right["x"] - left["x"])
-    return (
-        F.when(points.isNull() | (at_or_below < 1), F.lit(None).cast("double"))
-        .when(left["x"] == x, left["y"])
-        .when(right.isNotNull(), left["y"] + (x - left["x"]) * slope)
-    )
+    inside = let(let(at_or_below, ends), between)
+    return F.when(points.isNotNull() & x.isNotNull(), inside)

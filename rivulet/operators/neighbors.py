@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.skew import Split, find_split
+from rivulet.operators.skew import Split, find_splits
 from rivulet.schemas import UNCONVERTED, UNKNOWN_CELL
 
 # Running sums add and remove values for as long as a cell exists. They are kept
@@ -83,8 +83,8 @@ def neighbor_mean(
     left out, and the mean is NULL where it is alone.
     """
     rows = comparable_readings(readings, include_unconverted)
-    by_sensor = find_split("sensorid", [rows], split)
-    by_cell = find_split("gridCell", [rows], split)
+    splits = find_splits(["sensorid", "gridCell"], [rows], split)
+    by_sensor, by_cell = splits["sensorid"], splits["gridCell"]
     order = [F.col("timestamp"), *([F.col(tie)] if tie else []), F.col("sensorid")]
 
     rows = rows.withColumn("__value", F.col("conValue").cast(_EXACT))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key with more rows than this is cut into time buckets.
-HOT_ROWS = 5_000_000
+HOT_ROWS = 1_000_000
 # More hot keys than this are not listed on the driver: every key is cut instead.
 MAX_HOT_KEYS = 1_000
 BUCKET_SECONDS = 3_600
@@ -20,7 +20,7 @@ BUCKET_SECONDS = 3_600
 class Split:
     """Which keys of ``key`` are cut into time buckets, and how wide those are."""
 
-    def __init__(self, key: str, hot: list | None, everything: bool, seconds: int):
+    def __init__(self, key: str, hot: list[str] | None, everything: bool, seconds: int):
         self.key = key
         self.hot = hot or []
         self.everything = everything
@@ -34,7 +34,7 @@ class Split:
         """True for rows whose key is cut."""
         if self.everything:
             return F.lit(True)
-        return F.coalesce(F.col(self.key).isin(self.hot), F.lit(False))
+        return F.coalesce(F.col(self.key).cast("string").isin(self.hot), F.lit(False))
 
     def bucket(self, time: str) -> Column:
         """Time bucket of a row; zero for keys that stay whole."""
@@ -47,30 +47,45 @@ class Split:
         return F.timestamp_seconds(F.col(bucket) * self.seconds)
 
 
-def find_split(
-    key: str,
+def find_splits(
+    keys: list[str],
     frames: list[DataFrame],
     mode: str = "auto",
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
     seconds: int = BUCKET_SECONDS,
-) -> Split:
-    """Decide which keys to cut.
+) -> dict[str, Split]:
+    """Decide for each key column which of its values to cut.
 
-    ``auto`` counts rows per key (a column-pruned scan with map-side counts) and
-    lists the hot keys, at most ``max_hot_keys`` of them; with more hot keys all
-    keys are cut, which needs no list. ``always`` and ``never`` skip the count.
+    ``auto`` counts rows per value in one job (a column-pruned scan with map-side
+    counts) and lists the hot values, at most ``max_hot_keys`` of them; with more
+    hot values everything is cut, which needs no list. ``always`` and ``never``
+    skip the count.
     """
-    if mode == "always":
-        return Split(key, None, True, seconds)
-    if mode == "never":
-        return Split(key, None, False, seconds)
+    if mode in ("always", "never"):
+        return {key: Split(key, None, mode == "always", seconds) for key in keys}
     if mode != "auto":
         raise ValueError(f"unknown split mode {mode!r}")
-    keys = frames[0].select(key)
+    rows = frames[0].select(*keys)
     for frame in frames[1:]:
-        keys = keys.unionByName(frame.select(key))
-    counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    hot_rows_df = counts.where((F.col("rows") > hot_rows) & F.col(key).isNotNull())
-    hot = [row[0] for row in hot_rows_df.select(key).limit(max_hot_keys + 1).collect()]
-    return Split(key, hot, len(hot) > max_hot_keys, seconds)
+        rows = rows.unionByName(frame.select(*keys))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    named = [F.struct(F.lit(key).alias("key"), F.col(key).cast("string").alias("value")) for key in keys]
+    if len(keys) > 1:
+        counts = counts.select("rows", F.explode(F.array(*named)).alias("named"))
+        counts = counts.groupBy("named").agg(F.sum("rows").alias("rows"))
+    else:
+        counts = counts.select("rows", named[0].alias("named"))
+    hot = (
+        counts.where((F.col("rows") > hot_rows) & F.col("named.value").isNotNull())
+        .select("named.*")
+        .limit(max_hot_keys + 1)
+        .collect()
+    )
+    everything = len(hot) > max_hot_keys
+    return {key: Split(key, [v for k, v in hot if k == key], everything, seconds) for key in keys}
+
+
+def find_split(key: str, frames: list[DataFrame], mode: str = "auto", **options: int) -> Split:
+    """``find_splits`` for one key column."""
+    return find_splits([key], frames, mode, **options)[key]

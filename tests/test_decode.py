@@ -51,6 +51,15 @@ def test_atlas_skips_status_and_keeps_good_entries(texts, rows):
     ]
 
 
+def test_empty_payload_is_neither_good_nor_bad(texts, rows):
+    df = texts(
+        '{"externalDeviceId":"D","timestamp":"2024-01-01T00:00:10.250Z","decoded":{}}',
+        '{"externalDeviceId":"D","timestamp":"2024-01-01T00:00:10.250Z","decoded":{"Interrupt_status":1}}',
+    )
+    assert rows(decode.parse_packets(df)) == []
+    assert rows(decode.parse_rejects(df)) == []
+
+
 def test_ttn_keeps_all_entries(texts, rows):
     df = texts(
         '{"hardware_serial":"AB","timestamp":"2024-01-01T00:00:10.000Z",'

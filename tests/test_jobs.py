@@ -220,3 +220,18 @@ def test_start_position(monkeypatch):
 
 def test_checkpoint_root_is_the_folder_the_session_names(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_command_line():
+    from rivulet.__main__ import JOBS, arguments
+
+    job, options = arguments(
+        ["storage", "--rich", "kafka:a:b", "--updates", "text:/u", "--alarms", "table:x.y", "--database", "db",
+         "--option", "kafka.bootstrap.servers=h:1", "--latest"]
+    )
+    assert job == "storage"
+    assert options["rich"] == Topic("kafka", "a:b", {"kafka.bootstrap.servers": "h:1"})
+    assert (options["latest"], options["fresh"], options["interval"]) == (True, False, "600000 milliseconds")
+    for name, (function, topics, flags) in JOBS.items():
+        accepted = function.__code__.co_varnames[: function.__code__.co_argcount]
+        assert {*topics, *flags} <= set(accepted), name

@@ -50,19 +50,20 @@ def test_hot_sensor_and_cell_are_cut(spark, monkeypatch):
     from rivulet.operators import skew
 
     data = random_readings(3, 200, hot=True)
-    real = skew.find_split
+    real = skew.find_splits
     made = []
 
-    def low_limit(key, frames, mode):
-        made.append(real(key, frames, mode, hot_rows=70))
+    def low_limit(keys, frames, mode):
+        made.append(real(keys, frames, mode, hot_rows=65))
         return made[-1]
 
-    monkeypatch.setattr(neighbors, "find_split", low_limit)
+    monkeypatch.setattr(neighbors, "find_splits", low_limit)
     df = neighbors.neighbor_mean(frame(spark, data), tie="reading_id")
     got = sorted((r[0], r[1]) for r in df.select("reading_id", F.round("cellMean", 6)).collect())
     assert got == naive(data)
-    assert made[0].hot == ["hot"]
-    assert not made[0].everything
+    assert made[0]["sensorid"].hot == ["hot"]
+    assert 0 < len(made[0]["gridCell"].hot) < 3
+    assert not made[0]["gridCell"].everything
 
 
 def test_moving_sensor_leaves_its_cell(spark, rows):
