@@ -369,7 +369,7 @@ select reading_id, sensorid, timestamp, round(rawValue, 4) as rawValue, 'HERE' a
   'WGS_DEV' as type, round(rawValue, 4) as conValue, 'UNKNOWN' as unit, cast(999 as bigint) as gridCell
 from readings
 """,
-    "parse_curve_points": f"""
+    "parse_curve": f"""
 with {_UPDATES}, {_CURVES}
 select update_id, pos, round(x, 4) as x, round(y, 4) as y
 from curve_points where update_id in (select update_id from good_curves)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.functions import curves
 from rivulet.functions.alerts import severity
-from rivulet.functions.curves import interpolate, parse_curve
 from rivulet.functions.grid import geolocation_cell
 from rivulet.operators import archive, decode, encode, enrich, forecast, neighbors, windows
 from rivulet.schemas import UNKNOWN_CELL
@@ -122,9 +122,9 @@ def fake_enrich(spark, sf_dir):
 
 
 @_query
-def parse_curve_points(spark, sf_dir):
-    curves = fixtures.updates(spark, sf_dir).where(F.col("parameter") == "conversion")
-    points = curves.select("update_id", F.posexplode(parse_curve(F.col("value"))).alias("pos", "point"))
+def parse_curve(spark, sf_dir):
+    texts = fixtures.updates(spark, sf_dir).where(F.col("parameter") == "conversion")
+    points = texts.select("update_id", F.posexplode(curves.parse_curve(F.col("value"))).alias("pos", "point"))
     return _report(
         points.select("update_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "point.x", "point.y")
     )
@@ -139,7 +139,7 @@ def convert_values(spark, sf_dir):
         "value",
         "'[(1, 0),(50.5,' || " + id_text.format(1) + " || '),(300,' || " + id_text.format(200) + " || ')]' as curve",
     )
-    converted = interpolate(parse_curve(F.col("curve")), F.col("value"))
+    converted = curves.interpolate(curves.parse_curve(F.col("curve")), F.col("value"))
     return _report(values.select("event_id", F.coalesce(converted, F.lit(-99.0)).alias("conValue")))
 
 

@@ -105,8 +105,7 @@ class AttributeState(StatefulProcessor):
         if not self.wait:
             yield self._resolve(key[0], known, times, values)
             return
-        for time, value in zip(times, values, strict=True):
-            self.waiting.appendValue((int(time), float(value)))
+        self.waiting.appendList(list(zip(times.tolist(), values.tolist(), strict=True)))
         # A timer fires once the watermark is past it, that is, past the reading.
         for due in set((times // 1000 + 1).tolist()):
             self.handle.registerTimer(due)

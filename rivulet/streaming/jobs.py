@@ -208,10 +208,8 @@ def run_passthrough(
         tables.create_tables(spark, database, fresh)
     enriched = fake_enrich(decode.decode_reading(read_topic(spark, raw, latest)))
 
-    def append(batch: DataFrame, _batch_id: int) -> None:
-        tables.append_rows(archive.to_measurement(batch), f"{database}.measurements")
-
+    rows, table = archive.to_measurement(enriched), f"{database}.measurements"
     return [
         write_topic(encode.encode_reading(enriched), rich, f"{folder}/rich", available_now, interval),
-        _each_batch(enriched, append, f"{folder}/measurements", available_now, interval),
+        _archive(rows, table, f"{folder}/measurements", available_now, interval, upsert=True),
     ]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,24 +31,33 @@ class SensorChange(StatefulProcessor):
         self.last = handle.getValueState("last", "time timestamp, cell bigint, value decimal(28,6)")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("timestamp", kind="stable")
-        state = tuple(self.last.get()) if self.last.exists() else None
-        changes = []
-        columns = (batch[c] for c in ("timestamp", "gridCell", "conValue", "exact"))
-        for time, cell, value, exact in zip(*columns, strict=True):
-            if state is not None and time < pd.Timestamp(state[0]):
-                # Older than what the cell already knows: compared, but not stored.
-                changes.append((time, cell, key[0], value, Decimal(0), 0, True))
-                continue
-            stays = state is not None and state[1] == cell
-            if state is not None and not stays:
-                changes.append((time, state[1], key[0], value, -state[2], -1, False))
-            delta = exact - state[2] if stays else exact
-            changes.append((time, cell, key[0], value, delta, 0 if stays else 1, True))
-            state = (time.to_pydatetime(), int(cell), exact)
-        self.last.update(state)
-        names = ["timestamp", "cell", "sensorid", "conValue", "delta", "step", "probe"]
-        yield pd.DataFrame(changes, columns=names)
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch = batch.sort_values("timestamp", kind="stable", ignore_index=True)
+        time, cell, value = tuple(self.last.get()) if self.last.exists() else (None, None, None)
+        out = batch.rename(columns={"gridCell": "cell"}).assign(sensorid=key[0], probe=True)
+        # Older than what the cell already knows: compared, but not stored.
+        late = out["timestamp"] < pd.Timestamp(time) if time is not None else pd.Series(False, out.index)
+        old, new = out[late].assign(delta=Decimal(0), step=0), out[~late]
+        parts = [old]
+        if not new.empty:
+            # Plain integer arrays: cell ids do not fit into floats.
+            cells, exact = new["cell"].to_numpy("int64"), new["exact"].to_numpy(object)
+            had = np.arange(len(new)) > (-1 if cell is not None else 0)
+            cells_before = np.concatenate([[cell if cell is not None else 0], cells[:-1]]).astype("int64")
+            exact_before = np.concatenate([[value if value is not None else Decimal(0)], exact[:-1]])
+            stays = had & (cells_before == cells)
+            moved = had & ~stays
+            delta = np.where(stays, exact - exact_before, exact)
+            parts.append(new.assign(delta=delta, step=(~stays).astype("int64")))
+            parts.append(
+                new[moved].assign(
+                    cell=cells_before[moved], delta=-exact_before[moved], step=-1, probe=False
+                )
+            )
+            last = new.iloc[-1]
+            self.last.update((last["timestamp"].to_pydatetime(), int(last["cell"]), last["exact"]))
+        changes = pd.concat([p for p in parts if not p.empty], ignore_index=True)
+        yield changes[["timestamp", "cell", "sensorid", "conValue", "delta", "step", "probe"]]
 
 
 class CellSum(StatefulProcessor):
@@ -71,8 +81,9 @@ class CellSum(StatefulProcessor):
 def neighbor_mean_stream(readings: DataFrame, include_unconverted: bool = False) -> DataFrame:
     """Readings with the mean of their cell as of their arrival.
 
-    Inside a micro-batch readings are taken in event-time order. ``readings``
-    needs a watermark on ``timestamp``.
+    Inside a micro-batch readings are taken in event-time order. Readings that
+    come later than newer ones of their sensor are compared, but do not change
+    what is known. None is dropped or held back, so no watermark is needed.
     """
     rows = comparable_readings(readings, include_unconverted).select(
         "sensorid",
@@ -85,14 +96,13 @@ def neighbor_mean_stream(readings: DataFrame, include_unconverted: bool = False)
         statefulProcessor=SensorChange(),
         outputStructType=_CHANGE,
         outputMode="Append",
-        timeMode="EventTime",
-        eventTimeColumnName="timestamp",
+        timeMode="None",
     )
     return changes.groupBy("cell").transformWithStateInPandas(
         statefulProcessor=CellSum(),
         outputStructType=_MEAN,
         outputMode="Append",
-        timeMode="EventTime",
+        timeMode="None",
     )
 
 
