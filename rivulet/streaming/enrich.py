@@ -7,6 +7,7 @@ does not depend on the order inside the batch.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,7 @@ class AttributeState(StatefulProcessor):
         self.versions = handle.getMapState("versions", "parameter string", "times array<bigint>, values array<string>")
         if self.wait:
             self.waiting = handle.getListState("waiting", "time bigint, rawValue double")
+            self.due = handle.getValueState("due", "milliseconds bigint")
 
     def _load(self) -> dict[str, dict[int, str]]:
         return {
@@ -106,27 +108,37 @@ class AttributeState(StatefulProcessor):
             yield self._resolve(key[0], known, times, values)
             return
         self.waiting.appendList(list(zip(times.tolist(), values.tolist(), strict=True)))
+        self._wake(int(times.min()))
+
+    def _wake(self, earliest: int) -> None:
+        """Keep one timer per sensor: that of its earliest waiting reading."""
         # A timer fires once the watermark is past it, that is, past the reading.
-        for due in set((times // 1000 + 1).tolist()):
-            self.handle.registerTimer(due)
+        due = earliest // 1000 + 1
+        if self.due.exists():
+            (current,) = self.due.get()
+            if current <= due:
+                return
+            self.handle.deleteTimer(current)
+        self.handle.registerTimer(due)
+        self.due.update((due,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.wait:
             return
-        due = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        held = [(row[0], row[1]) for row in self.waiting.get()]
-        ready = [row for row in held if row[0] < due]
-        if not ready:
-            return
-        rest = [row for row in held if row[0] >= due]
+        self.due.clear()
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        held = sorted((row[0], row[1]) for row in self.waiting.get())
+        count = bisect.bisect_left(held, (watermark,))
+        ready, rest = held[:count], held[count:]
         if rest:
             self.waiting.put(rest)
+            self._wake(rest[0][0])
         else:
             self.waiting.clear()
-        ready.sort()
-        times = np.array([row[0] for row in ready], dtype="int64")
-        values = np.array([row[1] for row in ready], dtype="float64")
-        yield self._resolve(key[0], self._load(), times, values)
+        if ready:
+            times = np.array([row[0] for row in ready], dtype="int64")
+            values = np.array([row[1] for row in ready], dtype="float64")
+            yield self._resolve(key[0], self._load(), times, values)
 
 
 def enrich_stream(
