@@ -110,31 +110,30 @@ def window_moments(
     ).where((F.col("rank") <= 3) | F.col("ends_pane"))
     spread = linked.withColumn("end", F.explode(windows.ends("pane"))).where(windows.aligned())
 
-    start = F.col("end") - (windows.panes - 1)
-    has1, has2, has3 = (F.coalesce(F.col(f"pane{i}") >= start, F.lit(False)) for i in (1, 2, 3))
-    newest = F.coalesce(F.col("next_pane") > F.col("end"), F.lit(True))
-    products = _lag_products(*(F.col(c) for c in ("y", "y1", "y2", "y3")))
-    y = F.col("y")
-
-    def only(condition: Column, column: Column) -> Column:
-        return F.max(F.when(condition, column))
-
-    def total(name: str, present: Column, product: Column) -> Column:
-        edge = F.when(present & ~newest, product).otherwise(F.lit(0.0))
-        return F.sum(edge + F.coalesce(F.col(f"inner_{name}"), F.lit(0.0))).alias(name)
-
-    return spread.groupBy(key, "end").agg(
-        F.max("timestamp").alias("timestamp"),
-        F.sum(F.coalesce(F.col("inner_rows"), F.lit(0)) + 1).alias("rows"),
-        only(~has1, y).alias("h1"),
-        only(has1 & ~has2, y).alias("h2"),
-        only(has2 & ~has3, y).alias("h3"),
-        *(only(newest, F.col(c)).alias(t) for t, c in zip(_LAST, ("y", "y1", "y2", "y3", "y4"), strict=True)),
+    first_pane = f"(end - {windows.panes - 1})"
+    flagged = spread.selectExpr(
+        "*",
+        *(f"coalesce(pane{i} >= {first_pane}, false) as has{i}" for i in (1, 2, 3)),
+        "coalesce(next_pane > end, true) as newest",
+    )
+    products = ("(y - y1) * (y - y1)", "(y - y1) * (y1 - y2)", "(y - y1) * (y2 - y3)")
+    aggregates = (
+        "max(timestamp) as timestamp",
+        "sum(coalesce(inner_rows, 0) + 1) as rows",
+        "max(case when not has1 then y end) as h1",
+        "max(case when has1 and not has2 then y end) as h2",
+        "max(case when has2 and not has3 then y end) as h3",
+        *(
+            f"max(case when newest then {c} end) as {t}"
+            for t, c in zip(_LAST, ("y", "y1", "y2", "y3", "y4"), strict=True)
+        ),
         *(
-            total(name, present, product)
-            for name, present, product in zip(_SUMS, (has1, has2, has3), products, strict=True)
+            f"sum(case when has{i} and not newest then {product} else 0 end"
+            f" + coalesce(inner_{name}, 0)) as {name}"
+            for i, name, product in zip((1, 2, 3), _SUMS, products, strict=True)
         ),
     )
+    return flagged.groupBy(key, "end").agg(*map(F.expr, aggregates))
 
 
 def array_moments(values: Column) -> list[Column]:
@@ -180,74 +179,59 @@ def estimate(df: DataFrame) -> DataFrame:
     one before it, stage 2 on the one before it and that one's stage-1 residual.
     Rows with collinear regressors are dropped.
     """
-    s = {n: F.col(n) for n in MOMENTS}
     keep = [c for c in df.columns if c not in MOMENTS]
-    # m differences of the history; u1, u2 the first ones, p1..p3 the newest ones.
-    df = df.select(
-        *df.columns,
-        (s["rows"] - 2).cast("double").alias("m"),
-        (s["t2"] - s["h1"]).alias("s1"),
-        ((s["t2"] - s["h1"]) / (s["rows"] - 2)).alias("mu"),
-    )
-    m, mu, s1 = F.col("m"), F.col("mu"), F.col("s1")
-    df = df.select(
-        *df.columns,
-        (s["h2"] - s["h1"] - mu).alias("u1"),
-        (s["h3"] - s["h2"] - mu).alias("u2"),
-        (s["t2"] - s["t3"] - mu).alias("p1"),
-        (s["t3"] - s["t4"] - mu).alias("p2"),
-        (s["t4"] - s["t5"] - mu).alias("p3"),
-        (s["a"] - mu * s1).alias("c0"),
-    )
-    u1, u2, p1, p2, p3, c0 = (F.col(n) for n in ("u1", "u2", "p1", "p2", "p3", "c0"))
-    # Sums of centred products over all pairs one and two differences apart.
-    c1 = s["b"] - mu * (2 * s1 - u1 - p1 - 2 * mu) + (m - 1) * mu * mu
-    c2 = s["c"] - mu * (2 * s1 - u1 - u2 - p1 - p2 - 4 * mu) + (m - 2) * mu * mu
-    df = df.select(*df.columns, c1.alias("c1"), c2.alias("c2"))
-    c1, c2 = F.col("c1"), F.col("c2")
-    df = df.select(*df.columns, F.try_divide(c1, c0 - p1 * p1).alias("ar"))
-    ar = F.col("ar")
-    # Stage 2 runs over the third to the last difference.
-    yy = c0 - u1 * u1 - u2 * u2
-    xx = c0 - u1 * u1 - p1 * p1
-    older = c0 - p1 * p1 - p2 * p2
-    x_older = c1 - p1 * p2
-    xy = c1 - u1 * u2
-    df = df.select(
-        *df.columns,
-        yy.alias("yy"),
-        xx.alias("xx"),
-        xy.alias("xy"),
-        (xx - ar * x_older).alias("xe"),
-        (xx - 2 * ar * x_older + ar * ar * older).alias("ee"),
-        (xy - ar * c2).alias("ey"),
-    )
-    yy, xx, xy, xe, ee, ey = (F.col(n) for n in ("yy", "xx", "xy", "xe", "ee", "ey"))
-    det = xx * ee - xe * xe
-    solvable = (det > 0) & (det > MIN_RELATIVE_DETERMINANT * xx * ee)
-    df = df.select(*df.columns, F.when(solvable, det).alias("det"))
-    det = F.col("det")
-
-    def clipped(coefficient: Column) -> Column:
-        limited = F.greatest(F.lit(-COEFFICIENT_LIMIT), F.least(F.lit(COEFFICIENT_LIMIT), coefficient))
-        return F.when(det.isNotNull(), limited)
-
-    df = df.select(
-        *df.columns,
-        clipped((xy * ee - ey * xe) / det).alias("phi"),
-        clipped((ey * xx - xy * xe) / det).alias("theta"),
+    limit = COEFFICIENT_LIMIT
+    stages = (
+        # m differences of the history, their sum and mean.
+        ("cast(rows - 2 as double) as m", "t2 - h1 as s1", "(t2 - h1) / (rows - 2) as mu"),
+        # Centred differences: the first two, and the last three from the newest.
+        (
+            "h2 - h1 - mu as u1",
+            "h3 - h2 - mu as u2",
+            "t2 - t3 - mu as p1",
+            "t3 - t4 - mu as p2",
+            "t4 - t5 - mu as p3",
+            "a - mu * s1 as c0",
+        ),
+        # Sums of centred products over all pairs one and two differences apart.
+        (
+            "b - mu * (2 * s1 - u1 - p1 - 2 * mu) + (m - 1) * mu * mu as c1",
+            "c - mu * (2 * s1 - u1 - u2 - p1 - p2 - 4 * mu) + (m - 2) * mu * mu as c2",
+        ),
+        # Stage 1, and the sums of stage 2 that do not depend on it. Stage 2 runs
+        # over the third to the last difference.
+        (
+            "try_divide(c1, c0 - p1 * p1) as ar",
+            "c0 - u1 * u1 - u2 * u2 as yy",
+            "c0 - u1 * u1 - p1 * p1 as xx",
+            "c0 - p1 * p1 - p2 * p2 as older",
+            "c1 - p1 * p2 as x_older",
+            "c1 - u1 * u2 as xy",
+        ),
+        (
+            "xx - ar * x_older as xe",
+            "xx - 2 * ar * x_older + ar * ar * older as ee",
+            "xy - ar * c2 as ey",
+        ),
+        ("xx * ee - xe * xe as det",),
+        (f"det > 0 and det > {MIN_RELATIVE_DETERMINANT} * xx * ee as solvable",),
+        tuple(
+            f"case when solvable then greatest(-{limit}D, least({limit}D, ({top}) / det)) end as {name}"
+            for name, top in (("phi", "xy * ee - ey * xe"), ("theta", "ey * xx - xy * xe"))
+        ),
+        (
+            "t2 + mu + phi * p1 + theta * (p1 - phi * p2 - theta * (p2 - ar * p3)) as forecast",
+            "yy - 2 * phi * xy - 2 * theta * ey + phi * phi * xx + 2 * phi * theta * xe"
+            " + theta * theta * ee as squares",
+        ),
+        (f"{INTERVAL_Z} * sqrt(greatest(squares, 0D) / (m - 4)) as half",),
     )
-    phi, theta = F.col("phi"), F.col("theta")
-    squares = yy - 2 * phi * xy - 2 * theta * ey + phi * phi * xx + 2 * phi * theta * xe + theta * theta * ee
-    residual = p1 - phi * p2 - theta * (p2 - ar * p3)
-    half = INTERVAL_Z * F.sqrt(F.greatest(squares, F.lit(0.0)) / (m - 4))
-    forecast = s["t2"] + mu + phi * p1 + theta * residual
-    df = df.select(*keep, s["t1"].alias("last"), forecast.alias("forecast"), half.alias("half"))
-    forecast, half = F.col("forecast"), F.col("half")
-    result = F.struct(
-        "last", "forecast", (forecast - half).alias("lower"), (forecast + half).alias("upper")
+    for stage in stages:
+        df = df.selectExpr("*", *stage)
+    result = F.expr(
+        "struct(t1 as last, forecast, forecast - half as lower, forecast + half as upper)"
     )
-    return df.select(*keep, _barrier(result)).where(F.col("forecast").isNotNull())
+    return df.select(*keep, _barrier(result)).where("forecast is not null")
 
 
 def arima_forecast(

@@ -4,7 +4,6 @@ import pytest
 from conftest import at
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from rivulet.operators import enrich
 from rivulet.operators.asof import asof_latest

@@ -37,7 +37,7 @@ def finish(queries):
         assert query.exception() is None
 
 
-def messages(spark, topic, streaming=False):
+def messages(spark, topic):
     rows = spark.read.schema("key string, value string").option("recursiveFileLookup", "true").json(topic.name)
     return [json.loads(r["value"]) for r in rows.collect()]
 
