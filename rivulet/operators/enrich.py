@@ -11,6 +11,8 @@ from rivulet.operators.asof import asof_latest
 from rivulet.schemas import (
     CELL,
     CONVERSION,
+    FAKE_LOCATION,
+    FAKE_TYPE,
     GEOLOCATION,
     NOPARAM,
     PARAMETERS,
@@ -180,8 +182,8 @@ def pivot_attributes(updates: DataFrame, version: str | None = None) -> DataFram
 def fake_enrich(readings: DataFrame) -> DataFrame:
     """Constant enrichment for pass-through tests of a deployment."""
     columns = {
-        "location": F.lit("HERE"),
-        "type": F.lit("WGS_DEV"),
+        "location": F.lit(FAKE_LOCATION),
+        "type": F.lit(FAKE_TYPE),
         "conValue": F.col("rawValue"),
     }
     if "unit" not in readings.columns:

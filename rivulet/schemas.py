@@ -8,6 +8,10 @@ NOPARAM = "NOPARAM"
 UNCONVERTED = -99.0
 UNKNOWN_CELL = 999
 
+# Attributes that the pass-through job gives every reading.
+FAKE_LOCATION = "HERE"
+FAKE_TYPE = "WGS_DEV"
+
 # The attribute names that enrichment understands.
 GEOLOCATION = "geolocation"
 CELL = "cell"
