@@ -6,20 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import common, packing, token_counts
+from rivulet.llm import common, decontamination, packing, quality, token_counts, toxicity
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(common.table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = common.table(spark, sf_dir, "documents")
+    model = toxicity.train_toxicity(documents, common.table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(documents, model)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = common.table(spark, sf_dir, "benchmark")
+    return decontamination.contamination_report(common.table(spark, sf_dir, "documents"), items)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = common.table(spark, sf_dir, "documents")
+    machine = quality.train_quality(documents, common.table(spark, sf_dir, "labels"))
+    return quality.score_quality(documents, machine)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op4_toxicity": op4_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {}
