@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import common, decontamination, packing, quality, token_counts, toxicity
+from rivulet.llm import common, decontamination, order_minhash, packing, quality, token_counts, toxicity
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents, model)
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = common.table(spark, sf_dir, "benchmark")
     return decontamination.contamination_report(common.table(spark, sf_dir, "documents"), items)
@@ -37,6 +41,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op4_toxicity": op4_toxicity,
+    "op5_order_minhash": op5_order_minhash,
     "op7_decontamination": op7_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality": op10_quality,
