@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivulet.llm import common, decontamination, order_minhash, packing, quality, token_counts, toxicity
+from rivulet.llm import common, decontamination, order_minhash, packing, quality, suffix_index, token_counts, toxicity
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.removal_report(common.table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = common.table(spark, sf_dir, "benchmark")
     return decontamination.contamination_report(common.table(spark, sf_dir, "documents"), items)
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_order_minhash": op5_order_minhash,
+    "op6_suffix_index": op6_suffix_index,
     "op7_decontamination": op7_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality": op10_quality,
