@@ -5,14 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from rivulet.llm import common, decontamination, order_minhash, packing, quality, suffix_index, token_counts, toxicity
+from pyspark.sql import functions as F
+
+from rivulet.llm import (
+    common,
+    decontamination,
+    embedding_dedup,
+    lm_scores,
+    order_minhash,
+    packing,
+    quality,
+    suffix_index,
+    token_counts,
+    toxicity,
+)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(common.table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(common.table(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = common.table(spark, sf_dir, "documents")
     model = toxicity.train_toxicity(documents, common.table(spark, sf_dir, "labels"))
@@ -32,6 +48,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(common.table(spark, sf_dir, "documents"), items)
 
 
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scores.score_documents(common.table(spark, sf_dir, "documents"))
+    return scored.withColumn("lm_score", F.round("lm_score", 6))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.table(spark, sf_dir, "documents"))
 
@@ -44,10 +65,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_order_minhash": op5_order_minhash,
     "op6_suffix_index": op6_suffix_index,
     "op7_decontamination": op7_decontamination,
+    "op8_lm_scores": op8_lm_scores,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality": op10_quality,
 }
