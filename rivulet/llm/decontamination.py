@@ -241,3 +241,13 @@ def contamination_report(documents: DataFrame, items: DataFrame, length: int = 1
         F.sha2(F.array_join(F.coalesce("items", none), ",").cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
+
+
+def drop_contaminated(documents: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
+    """``documents`` without those that hold a window of an item.
+
+    Rows of one id go together if one is hit, and so do the rows without id.
+    """
+    heads, matches = find_contamination(documents, items, length)
+    hit = heads.join(matches.select("row").distinct(), "row", "left_semi").select("doc_id").distinct()
+    return documents.join(hit, documents["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")

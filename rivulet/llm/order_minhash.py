@@ -30,7 +30,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.llm import common
@@ -299,6 +299,9 @@ def _cross_links(rows: list[dict], number: int, same_block: bool, threshold: flo
 
 
 def keep_representatives(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """``documents`` without all but one of each class; rows without id stay."""
+    """One row of each class of ``documents``, with all columns; rows without id stay."""
     dropped = near_duplicates(documents, threshold).where(~F.col("kept")).select("doc_id")
-    return documents.join(dropped, documents["doc_id"] == dropped["doc_id"], "left_anti")
+    left = documents.join(dropped, documents["doc_id"] == dropped["doc_id"], "left_anti")
+    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    rows = Window.partitionBy("doc_id", own).orderBy(F.xxhash64("text"))
+    return left.withColumn("_row", F.row_number().over(rows)).where("_row = 1").drop("_row")

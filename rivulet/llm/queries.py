@@ -11,6 +11,7 @@ from rivulet.llm import (
     common,
     decontamination,
     embedding_dedup,
+    html_text,
     lm_scores,
     order_minhash,
     packing,
@@ -21,6 +22,10 @@ from rivulet.llm import (
 )
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(common.table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(common.table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op2_token_counts": op2_token_counts,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_toxicity": op4_toxicity,

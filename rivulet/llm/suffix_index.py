@@ -290,3 +290,53 @@ def removal_report(documents: DataFrame, batches: int = 2) -> DataFrame:
     return texts.join(spans, "doc_id", "left").mapInArrow(
         report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
+
+
+def whole_characters(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs without the parts of characters that they only cut into."""
+    kept = []
+    for start, end in runs:
+        while start < end and data[start] & 0xC0 == 0x80:
+            start += 1
+        while end < len(data) and end > start and data[end] & 0xC0 == 0x80:
+            end -= 1
+        if start < end:
+            kept.append((start, end))
+    return kept
+
+
+def remove_repeats(documents: DataFrame, batches: int = 2) -> DataFrame:
+    """``documents`` with the repeats cut out of ``text`` in whole characters.
+
+    ``n_chars``, where there is such a column, follows the text. Documents of which nothing
+    is left go; null and empty texts stay as they are.
+    """
+    spans = repeated_spans(documents, batches)
+    schema, text = documents.schema, documents.columns.index("text")
+    length = documents.columns.index("n_chars") if "n_chars" in documents.columns else None
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            texts, gone = [], []
+            for value, own in zip(batch.column(text), batch.column(len(schema)), strict=True):
+                value = value.as_py()
+                if value and own.as_py():
+                    data = value.encode()
+                    rest = without(data, whole_characters(data, merged_runs(own.as_py(), len(data)))).decode()
+                    texts.append(rest)
+                    gone.append(not rest)
+                else:
+                    texts.append(value)
+                    gone.append(False)
+            columns = list(batch.columns[: len(schema)])
+            columns[text] = pa.array(texts, columns[text].type)
+            if length is not None:
+                stated = columns[length].to_pylist()
+                cut_here = [o is not None for o in batch.column(len(schema)).to_pylist()]
+                new = [len(t or "") if c else n for t, c, n in zip(texts, cut_here, stated, strict=True)]
+                columns[length] = pa.array(new, columns[length].type)
+            left = pa.RecordBatch.from_arrays(columns, schema.names)
+            yield left.filter(pa.array([not g for g in gone], pa.bool_()))
+
+    own = spans.select(F.col("doc_id").alias("_id"), "spans")
+    return documents.join(own, documents["doc_id"] == own["_id"], "left").drop("_id").mapInArrow(cut, schema)
