@@ -19,7 +19,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from rivulet.functions.curves import parse_curve
 from rivulet.functions.grid import geolocation_cell
 from rivulet.operators.enrich import apply_attributes, enrich_asof
-from rivulet.operators.windows import duration_seconds
 from rivulet.schemas import CELL, CONVERSION, GEOLOCATION, PARAMETERS, TYPE, UNIT
 
 _OUTPUT = "sensorid string, timestamp timestamp, rawValue double, {}, known_type boolean, known_unit boolean".format(
@@ -32,43 +31,33 @@ def _micros(times: pd.Series) -> np.ndarray:
 
 
 class AttributeState(StatefulProcessor):
-    """Versions of the attributes of one sensor.
+    """Versions of the attributes of one sensor, all that have arrived.
 
-    Versions older than ``retention`` behind the newest event time of the sensor
-    are dropped, except the newest of them, which is still valid. With ``wait``
-    readings are held until the watermark passes them.
+    No version is ever dropped, as a reading may come however late. With ``wait``
+    readings are held until the watermark passes them; later ones are not held.
     """
 
-    def __init__(self, retention_seconds: int, wait: bool):
-        self.retention = retention_seconds * 1_000_000
+    def __init__(self, wait: bool):
         self.wait = wait
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.versions = handle.getMapState("versions", "parameter string", "times array<bigint>, values array<string>")
+        # One entry per version, so that an update writes one entry.
+        self.versions = handle.getMapState("versions", "parameter string, time bigint", "value string")
         if self.wait:
             self.waiting = handle.getListState("waiting", "time bigint, rawValue double")
             self.due = handle.getValueState("due", "milliseconds bigint")
 
     def _load(self) -> dict[str, dict[int, str]]:
-        return {
-            key[0]: dict(zip(value[0], value[1], strict=True)) for key, value in self.versions.iterator()
-        }
+        known: dict[str, dict[int, str]] = {}
+        for (parameter, time), (value,) in self.versions.iterator():
+            known.setdefault(parameter, {})[time] = value
+        return known
 
-    def _add(self, known: dict[str, dict[int, str]], rows: pd.DataFrame) -> set[str]:
+    def _add(self, rows: pd.DataFrame) -> None:
         times = _micros(rows["timestamp"])
         for parameter, time, value in zip(rows["parameter"], times, rows["value"], strict=True):
-            known.setdefault(parameter, {})[int(time)] = value
-        return set(rows["parameter"])
-
-    def _save(self, known: dict[str, dict[int, str]], changed: set[str], newest: int) -> None:
-        for parameter in changed:
-            times = sorted(known[parameter])
-            expired = [t for t in times if t < newest - self.retention]
-            kept = times[max(len(expired) - 1, 0):]
-            self.versions.updateValue(
-                (parameter,), (kept, [known[parameter][t] for t in kept])
-            )
+            self.versions.updateValue((parameter, int(time)), (value,))
 
     def _resolve(
         self, sensorid: str, known: dict[str, dict[int, str]], times: np.ndarray, values: np.ndarray
@@ -89,26 +78,27 @@ class AttributeState(StatefulProcessor):
         return pd.DataFrame(out, index=range(len(times)))
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        known: dict[str, dict[int, str]] = {}
-        self._save(known, self._add(known, initialState), 0)
+        self._add(initialState)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         is_update = batch["parameter"].notna()
-        known = self._load()
-        newest = int(_micros(batch["timestamp"]).max())
         if is_update.any():
-            self._save(known, self._add(known, batch[is_update].sort_values("version")), newest)
+            self._add(batch[is_update].sort_values("version", kind="stable"))
         readings = batch[~is_update]
         if readings.empty:
             return
         times = _micros(readings["timestamp"])
         values = readings["rawValue"].to_numpy("float64")
-        if not self.wait:
-            yield self._resolve(key[0], known, times, values)
-            return
-        self.waiting.appendList(list(zip(times.tolist(), values.tolist(), strict=True)))
-        self._wake(int(times.min()))
+        ready = np.ones(len(times), dtype=bool)
+        if self.wait:
+            ready = times < timerValues.getCurrentWatermarkInMs() * 1000
+            held = ~ready
+            if held.any():
+                self.waiting.appendList(list(zip(times[held].tolist(), values[held].tolist(), strict=True)))
+                self._wake(int(times[held].min()))
+        if ready.any():
+            yield self._resolve(key[0], self._load(), times[ready], values[ready])
 
     def _wake(self, earliest: int) -> None:
         """Keep one timer per sensor: that of its earliest waiting reading."""
@@ -146,7 +136,6 @@ def enrich_stream(
     updates: DataFrame,
     initial: DataFrame | None = None,
     wait_for_watermark: bool = False,
-    retention: str = "7 days",
     resolution: int = 9,
 ) -> DataFrame:
     """Enriched readings of a stream; updates change state and give no output.
@@ -154,8 +143,10 @@ def enrich_stream(
     Every reading comes out once, at once, with the attributes known by then. With
     ``wait_for_watermark`` it comes out when the watermark has passed it, so
     updates that are late within the watermark count as well; both inputs then
-    need a watermark. ``initial`` holds the current attributes (sensorid,
-    parameter, value, timestamp) to start with.
+    need a watermark. Readings and updates behind the watermark are used as they
+    come. ``initial`` holds the attribute versions (sensorid, parameter, value,
+    timestamp) to start with; readings older than a sensor's oldest are right
+    only if it has all of them.
     """
     tagged = readings.select(
         "sensorid",
@@ -174,11 +165,14 @@ def enrich_stream(
             (F.col("version") if "version" in updates.columns else F.lit(0)).cast("bigint").alias("version"),
         )
     )
+    # The watermark stays with the query but leaves the column: rows behind it
+    # would otherwise be filtered before they reach the state.
+    tagged = tagged.withColumn("timestamp", F.timestamp_micros(F.unix_micros("timestamp")))
     start = None
     if initial is not None:
         start = initial.select("sensorid", "parameter", "value", "timestamp").groupBy("sensorid")
     looked_up = tagged.groupBy("sensorid").transformWithStateInPandas(
-        statefulProcessor=AttributeState(duration_seconds(retention), wait_for_watermark),
+        statefulProcessor=AttributeState(wait_for_watermark),
         outputStructType=_OUTPUT,
         outputMode="Append",
         timeMode="EventTime" if wait_for_watermark else "None",

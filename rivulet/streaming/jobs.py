@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators import archive, decode, encode
-from rivulet.operators.enrich import fake_enrich, latest_parameters
+from rivulet.operators.enrich import fake_enrich
 from rivulet.session import checkpoint_root, use_utc
 from rivulet.sources import tables
 from rivulet.sources.topics import Topic, read_topic, write_topic
@@ -73,7 +73,7 @@ def run_enrichment(
     """Raw packets and attribute updates in, enriched readings and archived updates out.
 
     ``from_archive`` looks attributes up in the parameters table instead of
-    keeping them as state. ``cold_start`` fills the state from that table.
+    keeping them as state. ``cold_start`` fills the state with all its versions.
     ``rejects`` receives packets and entries that were not understood.
     """
     use_utc(spark)
@@ -99,7 +99,7 @@ def run_enrichment(
     else:
         initial = None
         if cold_start:
-            initial = latest_parameters(tables.stored(spark, parameters), tables.VERSION)
+            initial = tables.current_rows(spark, parameters)
         if wait_for_watermark:
             readings, changes = with_event_time(readings), with_event_time(changes)
         enriched = enrich_stream(readings, changes, initial, wait_for_watermark)

@@ -110,6 +110,50 @@ def test_enrich_stream_across_batches(spark, rows, tmp_path):
     assert unknown(rows(out, *COLUMNS)) == unknown(rows(expected, *COLUMNS))
 
 
+def test_enrich_stream_keeps_old_versions(spark, rows, tmp_path):
+    """A reading may come however late, also after one with a clock far ahead."""
+    day = 86400
+    old = [("a", at(0), "type", "v0"), ("a", at(10 * day), "type", "v10"), ("a", at(20 * day), "type", "v20")]
+    data = [("a", at(30 * day), 1.0), ("a", at(9000 * day), 2.0), ("a", at(3 * day), 3.0), ("a", at(15 * day), 4.0)]
+    u = write(spark, old, UPDATE, tmp_path / "u")
+    r = write(spark, data, READING, tmp_path / "r", files=4)
+    expected = enrich.enrich_asof(spark.read.parquet(r), spark.read.parquet(u))
+    out = run(spark, enrich_stream(stream(spark, r, READING), stream(spark, u, UPDATE)), "e6", tmp_path)
+    assert rows(out, *COLUMNS) == rows(expected, *COLUMNS)
+    assert {x["rawValue"]: x["type"] for x in rows(out, *COLUMNS)} == {1.0: "v20", 2.0: "v20", 3.0: "v0", 4.0: "v10"}
+
+
+def test_enrich_stream_takes_rows_behind_the_watermark(spark, rows, tmp_path):
+    r, u = tmp_path / "r", tmp_path / "u"
+    write(spark, [("z", at(100000), 0.0)], READING, r)
+    write(spark, [("z", at(99000), "type", "end")], UPDATE, u)
+    # Far behind the watermark by now; the update comes first.
+    write(spark, [("z", at(100000), 0.0)], READING, r)
+    write(spark, [("a", at(1), "type", "late")], UPDATE, u)
+    write(spark, [("a", at(5), 7.0)], READING, r)
+    write(spark, [("a", at(0), "unit", "mm")], UPDATE, u)
+    write(spark, [("z", at(200000), 0.0)], READING, r)
+    timed = enrich_stream(
+        with_event_time(stream(spark, str(r), READING), "60 seconds"),
+        with_event_time(stream(spark, str(u), UPDATE), "60 seconds"),
+        wait_for_watermark=True,
+    )
+    out = run(spark, timed, "e7", tmp_path).where("sensorid = 'a'")
+    expected = enrich.enrich_asof(spark.read.parquet(str(r)), spark.read.parquet(str(u))).where("sensorid = 'a'")
+    assert rows(out, *COLUMNS) == rows(expected, *COLUMNS)
+    assert [x["type"] for x in rows(out, *COLUMNS)] == ["late"]
+
+
+def test_enrich_stream_cold_start_with_all_versions(spark, rows, tmp_path):
+    history = [("a", at(-100), "type", "old"), ("a", at(50), "type", "level")]
+    r = write(spark, READINGS, READING, tmp_path / "r")
+    u = write(spark, [("q", at(0), "type", "x")], UPDATE, tmp_path / "u")
+    initial = spark.createDataFrame(history, UPDATE)
+    expected = enrich.enrich_asof(spark.read.parquet(r), initial)
+    out = run(spark, enrich_stream(stream(spark, r, READING), stream(spark, u, UPDATE), initial), "e8", tmp_path)
+    assert rows(out, *COLUMNS) == rows(expected, *COLUMNS)
+
+
 def test_enrich_batch_against_archive(spark, rows):
     readings = spark.createDataFrame(READINGS, READING)
     updates = spark.createDataFrame(UPDATES, UPDATE)
