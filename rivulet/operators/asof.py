@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.skew import Split, find_split
+from rivulet.operators.skew import BUCKET_SECONDS, bucket_of, bucket_start
 
 _BUCKET, _SIDE, _TIE = "__bucket", "__side", "__tie"
 # Order of rows with equal times: carried state, probes, then new values. A
@@ -23,7 +23,7 @@ def asof_latest(
     on: str = "timestamp",
     tie: str | None = None,
     known: dict[str, str] | None = None,
-    split: str | Split = "auto",
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """For every row of ``left``, the last non-null value of each of ``values``
     in ``right`` with the same ``by`` and a strictly earlier ``on``.
@@ -33,12 +33,10 @@ def asof_latest(
     such value at any time. Left rows without a match stay.
 
     Both sides are unioned, so one shuffle and one sort by time serve all
-    values. Keys too large for one task are cut into time buckets, each of
-    which starts with a row that carries the values known before it.
+    values. Keys are cut into time buckets of ``bucket_seconds``, each of which
+    starts with a row that carries the values known before it.
     """
     by, values, known = list(by), list(values), known or {}
-    if not isinstance(split, Split):
-        split = find_split(by[0], [left, right], split)
     value_names = {v: f"__value_{v}" for v in values}
     flag_names = {v: f"__known_{v}" for v in known}
 
@@ -51,13 +49,11 @@ def asof_latest(
         *(F.col(v).alias(name) for v, name in value_names.items()),
         *(F.when(F.col(v).isNotNull(), True).alias(name) for v, name in flag_names.items()),
     )
-    partition = list(by)
-    if split.active:
-        partition.append(_BUCKET)
-        probes = probes.withColumn(_BUCKET, split.bucket(on))
-        news = news.withColumn(_BUCKET, split.bucket(on))
-        carried = _carry_rows(probes, news, by, on, split, value_names, flag_names)
-        news = news.unionByName(carried, allowMissingColumns=True)
+    partition = [*by, _BUCKET]
+    probes = probes.withColumn(_BUCKET, bucket_of(on, bucket_seconds))
+    news = news.withColumn(_BUCKET, bucket_of(on, bucket_seconds))
+    carried = _carry_rows(probes, news, by, on, bucket_seconds, value_names, flag_names)
+    news = news.unionByName(carried, allowMissingColumns=True)
 
     rows = probes.unionByName(news, allowMissingColumns=True)
     before = (
@@ -68,7 +64,7 @@ def asof_latest(
     whole = Window.partitionBy(*partition)
     out = rows.select(
         *left.columns,
-        *partition[len(by):],
+        _BUCKET,
         _SIDE,
         *(F.last(name, ignorenulls=True).over(before).alias(v) for v, name in value_names.items()),
         *flag_names.values(),
@@ -85,14 +81,14 @@ def _carry_rows(
     news: DataFrame,
     by: list[str],
     on: str,
-    split: Split,
+    seconds: int,
     value_names: dict[str, str],
     flag_names: dict[str, str],
 ) -> DataFrame:
-    """One row per cut key and bucket with the values known before the bucket.
+    """One row per key and bucket that has probes, with the values known before the bucket.
 
-    The window below sees one row per bucket, so its groups grow with the time
-    range and not with the number of rows.
+    Both sides are aggregated in one pass. The window below sees one row per
+    bucket, so its groups grow with the time range and not with the number of rows.
     """
     names = list(value_names.values())
     flags = list(flag_names.values())
@@ -102,25 +98,29 @@ def _carry_rows(
         order = F.when(F.col(name).isNotNull(), F.struct(on, _TIE))
         return F.max_by(name, order).alias(name)
 
-    changed = (
-        news.where(split.applies())
-        .groupBy(*group)
-        .agg(*(last_in_bucket(n) for n in names), *(F.max(f).alias(f) for f in flags))
-    )
-    visited = probes.where(split.applies()).select(*group).distinct()
     marks = (
-        visited.unionByName(changed, allowMissingColumns=True)
+        probes.select(*group, on, _SIDE)
+        .unionByName(news, allowMissingColumns=True)
         .groupBy(*group)
-        .agg(*(F.first(n, ignorenulls=True).alias(n) for n in [*names, *flags]))
+        .agg(
+            *(last_in_bucket(n) for n in names),
+            *(F.max(f).alias(f) for f in flags),
+            F.min(_SIDE).alias(_SIDE),
+        )
     )
     earlier = (
         Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     )
     ever = Window.partitionBy(*by)
-    return marks.select(
-        *group,
-        split.bucket_start(_BUCKET).cast(news.schema[on].dataType).alias(on),
-        F.lit(_CARRY).alias(_SIDE),
-        *(F.last(n, ignorenulls=True).over(earlier).alias(n) for n in names),
-        *(F.max(f).over(ever).alias(f) for f in flags),
+    return (
+        marks.select(
+            *group,
+            bucket_start(_BUCKET, seconds).cast(news.schema[on].dataType).alias(on),
+            F.col(_SIDE).alias("__probed"),
+            *(F.last(n, ignorenulls=True).over(earlier).alias(n) for n in names),
+            *(F.max(f).over(ever).alias(f) for f in flags),
+        )
+        .where(F.col("__probed") == _LEFT)
+        .drop("__probed")
+        .withColumn(_SIDE, F.lit(_CARRY))
     )

@@ -111,18 +111,20 @@ def parse_rejects(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return entries.select(*keep, "value", "sensorid", "reason")
 
 
-def decode_reading(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def decode_reading(df: DataFrame, keep: Sequence[str] = (), seconds: bool = False) -> DataFrame:
     """Enriched readings; absent attributes get their defaults.
 
-    Text without sensor id, time or value is dropped.
+    Times are epoch milliseconds, or seconds as in raw packets. Text without
+    sensor id, time or value is dropped.
     """
     m = F.col("m")
+    time_of = wire.epoch_seconds if seconds else wire.epoch_millis
     return (
         df.select(*keep, wire.json_object(F.col("value")).alias("m"))
         .select(
             *keep,
             m["n"].alias("sensorid"),
-            wire.epoch_millis(m["t"]).alias("timestamp"),
+            time_of(m["t"]).alias("timestamp"),
             m["v"].try_cast("double").alias("rawValue"),
             F.coalesce(m["g"], F.lit(UNKNOWN)).alias("location"),
             F.coalesce(m["ty"], F.lit(UNKNOWN)).alias("type"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.curves import interpolate, parse_curve
 from rivulet.functions.grid import geolocation_cell
 from rivulet.operators.asof import asof_latest
+from rivulet.operators.skew import BUCKET_SECONDS
 from rivulet.schemas import (
     CELL,
     CONVERSION,
@@ -81,7 +82,7 @@ def enrich_asof(
     updates: DataFrame,
     version: str | None = None,
     resolution: int = 9,
-    split: str = "auto",
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Temporal enrichment over the full update history.
 
@@ -97,13 +98,13 @@ def enrich_asof(
         values=list(_ATTRIBUTES.values()),
         tie=version,
         known=_KNOWN,
-        split=split,
+        bucket_seconds=bucket_seconds,
     )
     return apply_attributes(joined)
 
 
 def lookup_asof(
-    probes: DataFrame, updates: DataFrame, version: str | None = None, split: str = "auto"
+    probes: DataFrame, updates: DataFrame, version: str | None = None, bucket_seconds: int = BUCKET_SECONDS
 ) -> DataFrame:
     """Latest value strictly before ``timestamp`` for (sensorid, parameter) probes.
 
@@ -115,7 +116,7 @@ def lookup_asof(
         by=["sensorid", "parameter"],
         values=["value"],
         tie=version,
-        split=split,
+        bucket_seconds=bucket_seconds,
     )
 
 

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.skew import Split, find_splits
+from rivulet.operators.skew import BUCKET_SECONDS, bucket_of
 from rivulet.schemas import UNCONVERTED, UNKNOWN_CELL
 
 # Running sums add and remove values for as long as a cell exists. They are kept
-# as decimals, which do not drift.
-_EXACT = "decimal(28,6)"
+# as decimals, which do not drift: ten digits after the point, and room for the
+# sum of a billion values below the bound.
+EXACT = "decimal(38,10)"
+BOUND = 1e18
 _BUCKET, _CARRY = "__bucket", "__carry"
 
 
@@ -22,12 +24,21 @@ def comparable_readings(readings: DataFrame, include_unconverted: bool = False)
     Readings without a converted value or without a cell are left out, as all
     unlocated sensors would otherwise form one neighbourhood.
     """
-    rows = readings.where(F.col("conValue").try_cast(_EXACT).isNotNull() & F.col("gridCell").isNotNull())
+    rows = readings.where(F.col("conValue").isNotNull() & F.col("gridCell").isNotNull())
     if include_unconverted:
         return rows
     return rows.where((F.col("conValue") != UNCONVERTED) & (F.col("gridCell") != UNKNOWN_CELL))
 
 
+def fits() -> Column:
+    """Whether a value can be summed exactly: not NaN, not infinite, below the bound."""
+    return ~F.isnan("conValue") & (F.abs("conValue") < BOUND)
+
+
+def exact_value() -> Column:
+    return F.when(fits(), F.col("conValue").cast(EXACT))
+
+
 def cell_latest(readings: DataFrame, tie: str | None = None) -> DataFrame:
     """Latest value of every sensor, in the cell it was last seen in."""
     order = F.struct("timestamp", tie) if tie else F.col("timestamp")
@@ -38,32 +49,22 @@ def cell_latest(readings: DataFrame, tie: str | None = None) -> DataFrame:
     )
 
 
-def _with_previous(rows: DataFrame, order: list[Column], split: Split) -> DataFrame:
+def _with_previous(rows: DataFrame, order: list[Column], seconds: int) -> DataFrame:
     """Add ``__prev``: cell and value of the sensor's reading before this one."""
     current = F.struct(F.col("gridCell").alias("cell"), F.col("__value").alias("value"))
-    rows = rows.withColumn("__now", current).withColumn(_CARRY, F.lit(False))
-    partition = ["sensorid"]
-    if split.active:
-        partition.append(_BUCKET)
-        rows = rows.withColumn(_BUCKET, split.bucket("timestamp"))
-        last = (
-            rows.where(split.applies())
-            .groupBy("sensorid", _BUCKET)
-            .agg(F.max_by("__now", F.struct(*order)).alias("__now"))
-        )
-        earlier = Window.partitionBy("sensorid").orderBy(_BUCKET)
-        carried = last.select(
-            "sensorid",
-            _BUCKET,
-            F.lag("__now").over(earlier).alias("__now"),
-            F.lit(True).alias(_CARRY),
-        ).where(F.col("__now").isNotNull())
-        rows = rows.unionByName(carried, allowMissingColumns=True)
-    by_time = Window.partitionBy(*partition).orderBy(F.col(_CARRY).desc(), *order)
+    rows = rows.withColumns({"__now": current, _CARRY: F.lit(False), _BUCKET: bucket_of("timestamp", seconds)})
+    last = rows.groupBy("sensorid", _BUCKET).agg(F.max_by("__now", F.struct(*order)).alias("__now"))
+    earlier = Window.partitionBy("sensorid").orderBy(_BUCKET)
+    carried = last.select(
+        "sensorid",
+        _BUCKET,
+        F.lag("__now").over(earlier).alias("__now"),
+        F.lit(True).alias(_CARRY),
+    ).where(F.col("__now").isNotNull())
+    rows = rows.unionByName(carried, allowMissingColumns=True)
+    by_time = Window.partitionBy("sensorid", _BUCKET).orderBy(F.col(_CARRY).desc(), *order)
     rows = rows.withColumn("__prev", F.lag("__now").over(by_time))
-    if split.active:
-        rows = rows.where(~F.col(_CARRY)).drop(_BUCKET)
-    return rows.drop("__now", _CARRY)
+    return rows.where(~F.col(_CARRY)).drop(_BUCKET, "__now", _CARRY)
 
 
 def neighbor_mean(
@@ -71,7 +72,7 @@ def neighbor_mean(
     include_self: bool = True,
     include_unconverted: bool = False,
     tie: str | None = None,
-    split: str = "auto",
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Readings with ``cellMean``: the mean over the latest value of every sensor
     in the cell at the time of the reading.
@@ -80,27 +81,28 @@ def neighbor_mean(
     previous value, so a running sum of differences gives the mean as of every
     reading. A sensor that moves is taken out of its old cell. ``tie`` orders
     readings of equal time. Without ``include_self`` the sensor's own value is
-    left out, and the mean is NULL where it is alone.
+    left out, and the mean is NULL where it is alone. Values that cannot be
+    summed exactly (see ``fits``) take no part and come out with a NULL mean.
     """
-    rows = comparable_readings(readings, include_unconverted)
-    splits = find_splits(["sensorid", "gridCell"], [rows], split)
-    by_sensor, by_cell = splits["sensorid"], splits["gridCell"]
+    every = comparable_readings(readings, include_unconverted)
+    odd = every.where(~fits()).select(*readings.columns, F.lit(None).cast("double").alias("cellMean"))
+    rows = every.where(fits())
     order = [F.col("timestamp"), *([F.col(tie)] if tie else []), F.col("sensorid")]
 
-    rows = rows.withColumn("__value", F.col("conValue").cast(_EXACT))
-    rows = _with_previous(rows, order, by_sensor)
+    rows = rows.withColumn("__value", F.col("conValue").cast(EXACT))
+    rows = _with_previous(rows, order, bucket_seconds)
 
     prev = F.col("__prev")
     stays = prev["cell"] == F.col("gridCell")
     here = F.struct(
         F.col("gridCell").alias("cell"),
-        (F.col("__value") - F.when(stays, prev["value"]).otherwise(F.lit(0))).cast(_EXACT).alias("delta"),
+        (F.col("__value") - F.when(stays, prev["value"]).otherwise(F.lit(0))).cast(EXACT).alias("delta"),
         F.when(stays, 0).otherwise(1).cast("bigint").alias("step"),
         F.lit(True).alias("probe"),
     )
     left_behind = F.struct(
         prev["cell"].alias("cell"),
-        (-prev["value"]).cast(_EXACT).alias("delta"),
+        (-prev["value"]).cast(EXACT).alias("delta"),
         F.lit(-1).cast("bigint").alias("step"),
         F.lit(False).alias("probe"),
     )
@@ -110,31 +112,23 @@ def neighbor_mean(
     ).withColumns({f"__{f}": F.col("__change")[f] for f in ("cell", "delta", "step", "probe")})
     changes = changes.drop("__change", "__prev").withColumn(_CARRY, F.lit(False))
 
-    partition = ["__cell"]
-    if by_cell.active:
-        by_cell = Split("__cell", by_cell.hot, by_cell.everything, by_cell.seconds)
-        partition.append(_BUCKET)
-        changes = changes.withColumn(_BUCKET, by_cell.bucket("timestamp"))
-        per_bucket = (
-            changes.where(by_cell.applies())
-            .groupBy("__cell", _BUCKET)
-            .agg(F.sum("__delta").alias("__delta"), F.sum("__step").alias("__step"))
-        )
-        earlier = (
-            Window.partitionBy("__cell").orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        carried = per_bucket.select(
-            "__cell",
-            _BUCKET,
-            F.sum("__delta").over(earlier).cast(_EXACT).alias("__delta"),
-            F.sum("__step").over(earlier).alias("__step"),
-            F.lit(False).alias("__probe"),
-            F.lit(True).alias(_CARRY),
-        ).where(F.col("__step").isNotNull())
-        changes = changes.unionByName(carried, allowMissingColumns=True)
+    changes = changes.withColumn(_BUCKET, bucket_of("timestamp", bucket_seconds))
+    per_bucket = changes.groupBy("__cell", _BUCKET).agg(
+        F.sum("__delta").alias("__delta"), F.sum("__step").alias("__step")
+    )
+    earlier = Window.partitionBy("__cell").orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_bucket.select(
+        "__cell",
+        _BUCKET,
+        F.sum("__delta").over(earlier).cast(EXACT).alias("__delta"),
+        F.sum("__step").over(earlier).alias("__step"),
+        F.lit(False).alias("__probe"),
+        F.lit(True).alias(_CARRY),
+    ).where(F.col("__step").isNotNull())
+    changes = changes.unionByName(carried, allowMissingColumns=True)
 
     running = (
-        Window.partitionBy(*partition)
+        Window.partitionBy("__cell", _BUCKET)
         .orderBy(F.col(_CARRY).desc(), *order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -145,7 +139,7 @@ def neighbor_mean(
     if not include_self:
         total, count = total - F.col("__value"), count - 1
     mean = F.try_divide(total.cast("double"), count)
-    return summed.select(*readings.columns, mean.alias("cellMean"))
+    return summed.select(*readings.columns, mean.alias("cellMean")).unionByName(odd)
 
 
 def neighbor_alerts(
@@ -155,10 +149,10 @@ def neighbor_alerts(
     include_unconverted: bool = False,
     tie: str | None = None,
     keep: Sequence[str] = (),
-    split: str = "auto",
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Alerts for readings further than ``threshold`` from the mean of their cell."""
-    means = neighbor_mean(readings, include_self, include_unconverted, tie, split)
+    means = neighbor_mean(readings, include_self, include_unconverted, tie, bucket_seconds)
     return deviation_alerts(means, threshold, keep)
 
 
@@ -187,9 +181,9 @@ def neighbor_snapshot(
     with very many sensors does not have to fit in one task.
     """
     latest = cell_latest(comparable_readings(readings, include_unconverted), tie)
-    exact = F.col("conValue").cast(_EXACT)
+    exact = exact_value()
     cells = latest.groupBy("gridCell").agg(
-        F.sum(exact).alias("__total"), F.count(F.lit(1)).alias("__count")
+        F.sum(exact).alias("__total"), F.count(exact).alias("__count")
     )
     total, count = F.col("__total"), F.col("__count")
     if not include_self:

@@ -1,91 +1,24 @@
-"""Finding keys that are too large for one task.
+"""Time buckets, for keys that are too large for one task.
 
 A window function sorts every key group in one task, and adaptive execution
-cannot split it. Operators that need such an order therefore cut large groups
+cannot split it. Operators that need such an order therefore cut every group
 into time buckets and carry the state from bucket to bucket in rows of its own.
+What a task sorts is then one key's rows of one bucket, however long the key's
+history; a narrower bucket bounds it further and costs more carried rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A key with more rows than this is cut into time buckets.
-HOT_ROWS = 1_000_000
-# More hot keys than this are not listed on the driver: every key is cut instead.
-MAX_HOT_KEYS = 1_000
-BUCKET_SECONDS = 3_600
+# One day. A key with a thousand rows a second has 86 million in it: take less then.
+BUCKET_SECONDS = 86_400
 
 
-class Split:
-    """Which keys of ``key`` are cut into time buckets, and how wide those are."""
+def bucket_of(time: str, seconds: int) -> Column:
+    return F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / seconds)
 
-    def __init__(self, key: str, hot: list[str] | None, everything: bool, seconds: int):
-        self.key = key
-        self.hot = hot or []
-        self.everything = everything
-        self.seconds = seconds
 
-    @property
-    def active(self) -> bool:
-        return self.everything or bool(self.hot)
-
-    def applies(self) -> Column:
-        """True for rows whose key is cut."""
-        if self.everything:
-            return F.lit(True)
-        return F.coalesce(F.col(self.key).cast("string").isin(self.hot), F.lit(False))
-
-    def bucket(self, time: str) -> Column:
-        """Time bucket of a row; zero for keys that stay whole."""
-        number = F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / self.seconds)
-        if self.everything:
-            return number
-        return F.when(self.applies(), number).otherwise(F.lit(0).cast("bigint"))
-
-    def bucket_start(self, bucket: str) -> Column:
-        return F.timestamp_seconds(F.col(bucket) * self.seconds)
-
-
-def find_splits(
-    keys: list[str],
-    frames: list[DataFrame],
-    mode: str = "auto",
-    hot_rows: int = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    seconds: int = BUCKET_SECONDS,
-) -> dict[str, Split]:
-    """Decide for each key column which of its values to cut.
-
-    ``auto`` counts rows per value in one job (a column-pruned scan with map-side
-    counts) and lists the hot values, at most ``max_hot_keys`` of them; with more
-    hot values everything is cut, which needs no list. ``always`` and ``never``
-    skip the count.
-    """
-    if mode in ("always", "never"):
-        return {key: Split(key, None, mode == "always", seconds) for key in keys}
-    if mode != "auto":
-        raise ValueError(f"unknown split mode {mode!r}")
-    rows = frames[0].select(*keys)
-    for frame in frames[1:]:
-        rows = rows.unionByName(frame.select(*keys))
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    named = [F.struct(F.lit(key).alias("key"), F.col(key).cast("string").alias("value")) for key in keys]
-    if len(keys) > 1:
-        counts = counts.select("rows", F.explode(F.array(*named)).alias("named"))
-        counts = counts.groupBy("named").agg(F.sum("rows").alias("rows"))
-    else:
-        counts = counts.select("rows", named[0].alias("named"))
-    hot = (
-        counts.where((F.col("rows") > hot_rows) & F.col("named.value").isNotNull())
-        .select("named.*")
-        .limit(max_hot_keys + 1)
-        .collect()
-    )
-    everything = len(hot) > max_hot_keys
-    return {key: Split(key, [v for k, v in hot if k == key], everything, seconds) for key in keys}
-
-
-def find_split(key: str, frames: list[DataFrame], mode: str = "auto", **options: int) -> Split:
-    """``find_splits`` for one key column."""
-    return find_splits([key], frames, mode, **options)[key]
+def bucket_start(bucket: str, seconds: int) -> Column:
+    return F.timestamp_seconds(F.col(bucket) * seconds)

@@ -253,48 +253,46 @@ select sensorid, {_window_times(7200)}, count(*) as n from expanded group by sen
 def _forecasts(size_s: int, slide_s: int) -> str:
     """Row-wise estimator: lags inside each window, then sums per window."""
     return f"""
-with {_expanded("event_type", size_s, slide_s)}, sized as (
-  select *, row_number() over w as pos, count(*) over (partition by sensorid, start_s) as n
-  from expanded window w as (partition by sensorid, start_s order by timestamp, reading_id)
-), diffs as (
-  select *, v - lag(v) over (partition by sensorid, start_s order by pos) as d from sized
-), centred as (
+with {_expanded("event_type", size_s, slide_s)}, sized as materialized (
+  select *, row_number() over w as pos, count(*) over p as n, v - lag(v) over w as d,
+    lead(v) over w as next_v, lead(timestamp) over w as next_timestamp
+  from expanded
+  window w as (partition by sensorid, start_s order by timestamp, reading_id), p as (partition by sensorid, start_s)
+), centred as materialized (
   -- differences of the history only; the last reading is the one to forecast
-  select sensorid, start_s, pos - 1 as t, n - 2 as m,
+  select sensorid, start_s, pos - 1 as t, n - 2 as m, v, next_v, next_timestamp,
     d - avg(d) over (partition by sensorid, start_s) as c,
     avg(d) over (partition by sensorid, start_s) as mu
-  from diffs where pos > 1 and pos < n and n > 6
-), lagged as (
+  from sized where pos > 1 and pos < n and n > 6
+), lagged as materialized (
   select *, lag(c) over (partition by sensorid, start_s order by t) as c1 from centred
 ), stage1 as (
   select sensorid, start_s, sum(c * c1) / nullif(sum(c1 * c1), 0) as ar from lagged group by all
-), residuals as (
-  select l.*, case when l.t = 1 then 0 else l.c - s.ar * l.c1 end as e
+), regress as materialized (
+  select l.*, lag(case when l.t = 1 then 0 else l.c - s.ar * l.c1 end)
+    over (partition by l.sensorid, l.start_s order by l.t) as e1
   from lagged l join stage1 s using (sensorid, start_s)
-), regress as (
-  select *, lag(e) over (partition by sensorid, start_s order by t) as e1 from residuals
 ), moments as (
   select sensorid, start_s, sum(c1 * c1) as xx, sum(c1 * e1) as xe, sum(e1 * e1) as ee,
     sum(c * c1) as xy, sum(c * e1) as ey
   from regress where t >= 3 group by all
-), coefficients as (
+), coefficients as materialized (
   select sensorid, start_s,
     greatest(-0.99, least(0.99, (xy * ee - ey * xe) / (xx * ee - xe * xe))) as phi,
     greatest(-0.99, least(0.99, (ey * xx - xy * xe) / (xx * ee - xe * xe))) as theta
   from moments where xx * ee - xe * xe > 0 and xx * ee - xe * xe > 1e-6 * xx * ee
 ), errors as (
-  select r.sensorid, r.start_s, r.t, r.m, r.c, r.mu, k.phi, k.theta, r.c - k.phi * r.c1 - k.theta * r.e1 as err
+  select r.*, k.phi, k.theta, r.c - k.phi * r.c1 - k.theta * r.e1 as err
   from regress r join coefficients k using (sensorid, start_s) where r.t >= 3
 ), fitted as (
   select sensorid, start_s, any_value(m) as m, sqrt(sum(err * err) / (any_value(m) - 4)) as sigma,
-    max(case when t = m then mu + phi * c + theta * err end) as step
+    max(case when t = m then v + mu + phi * c + theta * err end) as forecast,
+    max(case when t = m then next_v end) as last, max(case when t = m then next_timestamp end) as timestamp
   from errors group by sensorid, start_s
 ), forecasts as (
-  select f.sensorid, {_window_times(size_s).replace("start_s", "f.start_s")}, z.timestamp, z.n, z.v as last,
-    y.v + f.step as forecast, y.v + f.step - 1.96 * f.sigma as lower, y.v + f.step + 1.96 * f.sigma as upper
-  from fitted f
-  join sized z on z.sensorid = f.sensorid and z.start_s = f.start_s and z.pos = z.n
-  join sized y on y.sensorid = f.sensorid and y.start_s = f.start_s and y.pos = y.n - 1
+  select sensorid, {_window_times(size_s)}, timestamp, m + 2 as n, last,
+    forecast, forecast - 1.96 * sigma as lower, forecast + 1.96 * sigma as upper
+  from fitted
 )"""
 
 

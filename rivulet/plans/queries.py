@@ -181,7 +181,7 @@ def enrich_asof_split(spark, sf_dir):
             fixtures.readings(spark, sf_dir),
             fixtures.updates(spark, sf_dir),
             "update_id",
-            split="always",
+            bucket_seconds=3_600,
         )
     )
 
@@ -230,7 +230,7 @@ def neighbor_mean(spark, sf_dir):
 def neighbor_mean_split(spark, sf_dir):
     """The same result with every sensor and cell cut into time buckets."""
     readings = fixtures.cell_readings(spark, sf_dir)
-    return _report(neighbors.neighbor_mean(readings, tie="reading_id", split="always"), 8)
+    return _report(neighbors.neighbor_mean(readings, tie="reading_id", bucket_seconds=3_600), 8)
 
 
 @_query

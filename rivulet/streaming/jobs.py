@@ -206,7 +206,8 @@ def run_passthrough(
     folder = _folder(spark, checkpoint, "passthrough")
     if seed or fresh:
         tables.create_tables(spark, database, fresh)
-    enriched = fake_enrich(decode.decode_reading(read_topic(spark, raw, latest)))
+    # The raw topic carries epoch seconds.
+    enriched = fake_enrich(decode.decode_reading(read_topic(spark, raw, latest), seconds=True))
 
     rows, table = archive.to_measurement(enriched), f"{database}.measurements"
     return [

@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from rivulet.operators.neighbors import comparable_readings, deviation_alerts
+from rivulet.operators.neighbors import EXACT, comparable_readings, deviation_alerts, fits
 
 _CHANGE = (
     "timestamp timestamp, cell bigint, sensorid string, conValue double, "
-    "delta decimal(28,6), step bigint, probe boolean"
+    "delta decimal(38,10), step bigint, probe boolean"
 )
 _MEAN = "timestamp timestamp, sensorid string, gridCell bigint, conValue double, cellMean double"
 
@@ -28,7 +28,7 @@ class SensorChange(StatefulProcessor):
     """Last cell and value of one sensor."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "time timestamp, cell bigint, value decimal(28,6)")
+        self.last = handle.getValueState("last", "time timestamp, cell bigint, value decimal(38,10)")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
@@ -64,7 +64,7 @@ class CellSum(StatefulProcessor):
     """Sum and number of the latest values in one cell."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("sum", "total decimal(28,6), sensors bigint")
+        self.state = handle.getValueState("sum", "total decimal(38,10), sensors bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
@@ -84,13 +84,18 @@ def neighbor_mean_stream(readings: DataFrame, include_unconverted: bool = False)
     Inside a micro-batch readings are taken in event-time order. Readings that
     come later than newer ones of their sensor are compared, but do not change
     what is known. None is dropped or held back, so no watermark is needed.
+    Values that cannot be summed exactly come out with a NULL mean.
     """
-    rows = comparable_readings(readings, include_unconverted).select(
+    every = comparable_readings(readings, include_unconverted)
+    odd = every.where(~fits()).select(
+        "timestamp", "sensorid", "gridCell", "conValue", F.lit(None).cast("double").alias("cellMean")
+    )
+    rows = every.where(fits()).select(
         "sensorid",
         "timestamp",
         "gridCell",
         "conValue",
-        F.col("conValue").cast("decimal(28,6)").alias("exact"),
+        F.col("conValue").cast(EXACT).alias("exact"),
     )
     changes = rows.groupBy("sensorid").transformWithStateInPandas(
         statefulProcessor=SensorChange(),
@@ -98,12 +103,13 @@ def neighbor_mean_stream(readings: DataFrame, include_unconverted: bool = False)
         outputMode="Append",
         timeMode="None",
     )
-    return changes.groupBy("cell").transformWithStateInPandas(
+    means = changes.groupBy("cell").transformWithStateInPandas(
         statefulProcessor=CellSum(),
         outputStructType=_MEAN,
         outputMode="Append",
         timeMode="None",
     )
+    return means.unionByName(odd)
 
 
 def neighbor_alerts_stream(

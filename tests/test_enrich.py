@@ -5,9 +5,8 @@ from conftest import at
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from rivulet.operators import enrich
+from rivulet.operators import enrich, neighbors
 from rivulet.operators.asof import asof_latest
-from rivulet.operators.skew import Split, find_split
 
 READING = "sensorid string, timestamp timestamp, rawValue double"
 UPDATE = "update_id bigint, sensorid string, timestamp timestamp, parameter string, value string"
@@ -15,10 +14,10 @@ UPDATE = "update_id bigint, sensorid string, timestamp timestamp, parameter stri
 
 @pytest.fixture
 def enriched(spark, rows):
-    def run(readings, updates, split="auto"):
+    def run(readings, updates, seconds=86_400):
         r = spark.createDataFrame(readings, READING)
         u = spark.createDataFrame([(i, *x) for i, x in enumerate(updates)], UPDATE)
-        return rows(enrich.enrich_asof(r, u, "update_id", split=split))
+        return rows(enrich.enrich_asof(r, u, "update_id", bucket_seconds=seconds))
 
     return run
 
@@ -32,10 +31,10 @@ def test_never_known(enriched):
     ]
 
 
-@pytest.mark.parametrize("split", ["never", "always"])
-def test_not_valid_yet(enriched, split):
+@pytest.mark.parametrize("seconds", [10, 86_400, 10**9])
+def test_not_valid_yet(enriched, seconds):
     later = [("a", at(10**6), p, "52,13") for p in ("type", "unit", "geolocation", "cell", "conversion")]
-    [row] = enriched([("a", at(0), 1.0)], later, split)
+    [row] = enriched([("a", at(0), 1.0)], later, seconds)
     assert (row["type"], row["unit"]) == ("NOPARAM", "NOPARAM")
     assert (row["location"], row["conValue"], row["gridCell"]) == ("UNKNOWN", -99.0, 999)
 
@@ -110,28 +109,30 @@ def test_lookup_equals_naive(spark, seed, hot):
     right = spark.createDataFrame(
         [(i, s, t, p, v) for i, (s, t, p, v) in enumerate(updates)], UPDATE
     )
-    splits = [
-        Split("sensorid", None, False, 10),
-        Split("sensorid", None, True, 10),
-        Split("sensorid", ["hot"], False, 10),
-    ]
-    for split in splits:
-        got = asof_latest(left, right, ["sensorid", "parameter"], ["value"], tie="update_id", split=split)
+    for seconds in (10, 10**9):
+        got = asof_latest(
+            left, right, ["sensorid", "parameter"], ["value"], tie="update_id", bucket_seconds=seconds
+        )
         pairs = [(r[0], r[1].replace(tzinfo=at(0).tzinfo), r[2], r[3]) for r in got.collect()]
         assert sorted(pairs, key=repr) == naive(probes, updates)
 
 
-def test_find_split(spark):
-    df = spark.range(1000).selectExpr("case when id < 400 then 'hot' else cast(id as string) end as k")
-    assert find_split("k", [df], "auto", hot_rows=100).hot == ["hot"]
-    assert not find_split("k", [df], "auto", hot_rows=500).active
-    everything = find_split("k", [df], "auto", hot_rows=0, max_hot_keys=10)
-    assert everything.everything
-    assert everything.active
+def test_no_job_runs_while_a_query_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    readings = spark.range(10).selectExpr("cast(id as string) as sensorid", "timestamp '2024-01-01' as timestamp", "1.0D as rawValue")
+    updates = readings.selectExpr("1 as update_id", "sensorid", "timestamp", "'type' as parameter", "'x' as value")
+    rich = enrich.enrich_asof(readings, updates, "update_id")
+    neighbors.neighbor_alerts(rich)
+    enrich.lookup_asof(readings.selectExpr("sensorid", "timestamp", "'type' as parameter"), updates)
+    assert not tracker.getJobIdsForGroup("building")
+    rich.count()
+    assert tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-@pytest.mark.parametrize("split", ["never", "always"])
-def test_split_gives_the_same_rows(spark, rows, split):
+@pytest.mark.parametrize("seconds", [60, 3_600, 86_400])
+def test_buckets_give_the_same_rows(spark, rows, seconds):
     rng = random.Random(5)
     readings = spark.createDataFrame(
         [(rng.choice("ab"), at(rng.randrange(10**6)), rng.uniform(0, 10)) for _ in range(300)], READING
@@ -144,19 +145,19 @@ def test_split_gives_the_same_rows(spark, rows, split):
         ],
         UPDATE,
     )
-    plain = enrich.enrich_asof(readings, updates, "update_id", split="never")
-    assert rows(enrich.enrich_asof(readings, updates, "update_id", split=split)) == rows(plain)
+    plain = enrich.enrich_asof(readings, updates, "update_id", bucket_seconds=10**9)
+    assert rows(enrich.enrich_asof(readings, updates, "update_id", bucket_seconds=seconds)) == rows(plain)
 
 
-def test_plan_has_one_shuffle_and_one_sort(spark, tmp_path):
+def test_plan_has_no_join_and_aggregates_carried_rows_first(spark, tmp_path):
     for name, schema in (("r", READING), ("u", UPDATE)):
         spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
     readings, updates = (spark.read.parquet(str(tmp_path / n)) for n in "ru")
-    df = enrich.enrich_asof(readings, updates, "update_id", split="never")
-    plan = df._jdf.queryExecution().sparkPlan().toString()
-    physical = df._jdf.queryExecution().executedPlan().toString()
-    assert physical.count("Exchange hashpartitioning") == 1
-    assert physical.count("Sort [") == 1
+    df = enrich.enrich_asof(readings, updates, "update_id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # One for the rows, two for the carried ones: per bucket, then per sensor.
+    assert plan.count("Exchange hashpartitioning") <= 3
+    assert "partial_max" in plan
     assert "Join" not in plan
 
 

@@ -143,21 +143,25 @@ def test_forecast(spark, topic, tmp_path):
 
 
 def test_passthrough(spark, topic, tmp_path, database, rows):
-    raw = topic("raw", [f'{{"n":"s1","t":{MS},"v":4,"u":"mm"}}'])
+    raw = topic("raw", [f'{{"n":"s1","t":{MS // 1000},"v":4,"u":"mm"}}'])
     rich = sink(tmp_path, "rich")
     finish(
         jobs.run_passthrough(spark, raw, rich, database, str(tmp_path / "cp"), latest=False, seed=True, available_now=True)
     )
     [message] = messages(spark, rich)
     assert (message["g"], message["ty"], message["u"], message["c"]) == ("HERE", "WGS_DEV", "mm", 4.0)
-    assert rows(spark.table(f"{database}.measurements"), "location", "type", "unit") == [
-        {"location": "HERE", "type": "WGS_DEV", "unit": "mm"}
+    assert rows(spark.table(f"{database}.measurements"), "timestamp", "location", "type", "unit") == [
+        {"timestamp": 0, "location": "HERE", "type": "WGS_DEV", "unit": "mm"}
     ]
+    # The same raw lines mean the same time in the enrichment job.
+    parsed = decode.parse_packets(spark.read.text(raw.name))
+    assert rows(parsed, "timestamp") == [{"timestamp": 0}]
+    assert message["t"] == MS
 
 
 def test_restart_continues_where_it_stopped(spark, topic, tmp_path, database):
     """A second run with the same checkpoint handles only new input."""
-    raw = topic("raw", [f'{{"n":"s1","t":{MS},"v":4}}'])
+    raw = topic("raw", [f'{{"n":"s1","t":{MS // 1000},"v":4}}'])
     rich = sink(tmp_path, "rich")
     for expected in (1, 2):
         finish(
@@ -166,7 +170,7 @@ def test_restart_continues_where_it_stopped(spark, topic, tmp_path, database):
         assert spark.read.json(rich.name).count() == expected
         assert tables.stored(spark, f"{database}.measurements").count() == expected
         with open(f"{raw.name}/part-1.txt", "w") as more:
-            more.write(f'{{"n":"s2","t":{MS},"v":4}}\n')
+            more.write(f'{{"n":"s2","t":{MS // 1000},"v":4}}\n')
 
 
 def test_round_trip_through_a_table_topic(spark, tmp_path):

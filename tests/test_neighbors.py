@@ -36,34 +36,23 @@ def random_readings(seed, n=150, hot=False):
     ]
 
 
-@pytest.mark.parametrize("split", ["never", "always"])
+@pytest.mark.parametrize("seconds", [600, 3_600, 10**9])
 @pytest.mark.parametrize("include_self", [True, False])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_mean_equals_naive(spark, split, include_self, seed):
+def test_mean_equals_naive(spark, seconds, include_self, seed):
     data = random_readings(seed, hot=seed == 2)
-    df = neighbors.neighbor_mean(frame(spark, data), include_self, tie="reading_id", split=split)
+    df = neighbors.neighbor_mean(frame(spark, data), include_self, tie="reading_id", bucket_seconds=seconds)
     got = sorted((r[0], r[1]) for r in df.select("reading_id", F.round("cellMean", 6)).collect())
     assert got == naive(data, include_self)
 
 
-def test_hot_sensor_and_cell_are_cut(spark, monkeypatch):
-    from rivulet.operators import skew
-
-    data = random_readings(3, 200, hot=True)
-    real = skew.find_splits
-    made = []
-
-    def low_limit(keys, frames, mode):
-        made.append(real(keys, frames, mode, hot_rows=65))
-        return made[-1]
-
-    monkeypatch.setattr(neighbors, "find_splits", low_limit)
-    df = neighbors.neighbor_mean(frame(spark, data), tie="reading_id")
-    got = sorted((r[0], r[1]) for r in df.select("reading_id", F.round("cellMean", 6)).collect())
-    assert got == naive(data)
-    assert made[0]["sensorid"].hot == ["hot"]
-    assert 0 < len(made[0]["gridCell"].hot) < 3
-    assert not made[0]["gridCell"].everything
+def test_very_small_and_very_large_values(spark, rows):
+    data = [("a", at(0), 1, 2e-7), ("b", at(1), 1, 4e-7), ("c", at(2), 2, 1e17), ("c", at(3), 2, 5.0), ("d", at(4), 1, 1e23)]
+    got = {r["reading_id"]: r["cellMean"] for r in rows(neighbors.neighbor_mean(frame(spark, data)), "reading_id", "cellMean")}
+    assert got[0] == pytest.approx(2e-7)
+    assert got[1] == pytest.approx(3e-7)
+    # A large value leaves no trace when it is replaced; one too large to sum is kept without a mean.
+    assert (got[2], got[3], got[4]) == (1e17, 5.0, None)
 
 
 def test_moving_sensor_leaves_its_cell(spark, rows):
@@ -79,10 +68,10 @@ def test_unconverted_and_unlocated_are_left_out(spark, rows):
     ]
     df = frame(spark, data)
     assert [(r["reading_id"], r["cellMean"]) for r in rows(neighbors.neighbor_mean(df), "reading_id", "cellMean")] == [
-        (0, 10.0), (4, 15.0)
+        (0, 10.0), (3, None), (4, 15.0)
     ]
     every = neighbors.neighbor_mean(df, include_unconverted=True)
-    assert {r["reading_id"] for r in rows(every, "reading_id")} == {0, 1, 2, 4}
+    assert {r["reading_id"] for r in rows(every, "reading_id")} == {0, 1, 2, 3, 4}
 
 
 def test_alerts_bounds_and_strict_threshold(spark, rows):
