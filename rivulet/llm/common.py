@@ -31,6 +31,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, longer if ``df`` has such a column."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

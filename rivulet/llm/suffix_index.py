@@ -237,7 +237,7 @@ def _spans(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
 def repeated_spans(documents: DataFrame, batches: int = 2) -> DataFrame:
     """Per id with repeats: ``doc_id`` and ``spans``, its bytes to remove as sorted runs that may overlap."""
     ids = documents.select(F.col("doc_id").cast("double").alias("id"))
-    cuts = ids.approxQuantile("id", [i / batches for i in range(1, batches)], 0.01)
+    cuts = ids.approxQuantile("id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     edges = [None, *sorted(set(map(int, cuts))), None]
     index, found = SuffixIndex(), None
     for number, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
@@ -338,5 +338,6 @@ def remove_repeats(documents: DataFrame, batches: int = 2) -> DataFrame:
             left = pa.RecordBatch.from_arrays(columns, schema.names)
             yield left.filter(pa.array([not g for g in gone], pa.bool_()))
 
-    own = spans.select(F.col("doc_id").alias("_id"), "spans")
-    return documents.join(own, documents["doc_id"] == own["_id"], "left").drop("_id").mapInArrow(cut, schema)
+    key = common.fresh("_id", documents)
+    own = spans.select(F.col("doc_id").alias(key), F.col("spans").alias(common.fresh("_spans", documents)))
+    return documents.join(own, documents["doc_id"] == own[key], "left").drop(key).mapInArrow(cut, schema)

@@ -1,0 +1,559 @@
+"""Operators for training data against brute force, on whole small tables and odd rows."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rivulet.llm import (
+    components,
+    decontamination,
+    embedding_dedup,
+    html_text,
+    lm_scores,
+    order_minhash,
+    packing,
+    quality,
+    suffix_index,
+    token_counts,
+    tokens,
+    toxicity,
+)
+
+SF_DIR = "/root/testdata/sf0.01"
+#: Names that the operators use themselves, or that clash with their results.
+CLASHES = ("row", "block", "score", "label", "words", "doc", "node", "spans", "n_tokens", "length", "start", "_row")
+ODD = [None, "", " ", "\n\n", "a", "ß  é\tü\xa0x", "it's we'll 12345 <|endoftext|> x", "字 🙂 é", "no " * 3000]
+
+if not Path(SF_DIR).exists():
+    pytest.skip("needs the test tables", allow_module_level=True)
+
+
+def with_clashes(df):
+    return df.withColumns({name: F.lit("clash") for name in CLASHES if name not in df.columns})
+
+
+def documents(spark, texts, ids=None):
+    rows = list(zip(ids or range(len(texts)), texts, strict=True))
+    return with_clashes(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(300)
+    return {r.doc_id: r.text for r in rows.collect()}
+
+
+def base_text(seed, n):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 6))) for _ in range(400)]
+    return [rng.choice(vocabulary) for _ in range(n)]
+
+
+# Token counts and packing
+
+
+@pytest.fixture(scope="module")
+def encoded(texts):
+    both = [*texts.values(), *ODD]
+    found = tokens.tokenizer(tokens.default_path()).encode_batch([t or "" for t in both], add_special_tokens=False)
+    return both, [e.ids for e in found]
+
+
+def test_ids_are_those_of_the_tokenizer(encoded):
+    both, ids = encoded
+    encoder = tokens.IdEncoder(tokens.default_path(), max_words=500)
+    for text, want in zip(both, ids, strict=True):
+        assert np.frombuffer(encoder.encode(text or ""), "<u4").tolist() == want
+
+
+def test_token_counts(spark, encoded):
+    both, ids = encoded
+    got = {r.doc_id: r for r in token_counts.count_tokens(documents(spark, both)).collect()}
+    assert len(got) == len(both)
+    for i, (text, want) in enumerate(zip(both, ids, strict=True)):
+        assert got[i].n_tokens == len(want)
+        assert got[i].n_bytes == len((text or "").encode())
+        assert got[i].over_limit == (len(want) > 512)
+
+
+def test_token_frequencies_beyond_one_posting(monkeypatch):
+    monkeypatch.setattr(token_counts, "_MAX_FREQ", 7)
+    path = tokens.default_path()
+    batch = token_counts._block_rows(0, [5], ["x y " * 30], path, 3)
+    postings = [np.frombuffer(r["postings"], "<u4") for r in batch.to_pylist() if r["postings"]]
+    assert sum(int((p & 0xFFFFF).sum()) for p in postings) == len(tokens.pre_tokens("x y " * 30, path))
+
+
+def test_packing(spark, encoded):
+    both, ids = encoded
+    got = packing.pack_documents(documents(spark, both), size=256, open_bins=32).toPandas()
+    for i, want in enumerate(ids):
+        own = got[got.doc_id == i].sort_values("piece")
+        want = [*want, 0]
+        assert own.length.sum() == len(want)
+        assert own.piece.tolist() == list(range(len(own)))
+        assert (own.length.iloc[1:] == 256).all() and len(own) == -(-len(want) // 256)
+        for p in own.itertuples():
+            assert p.ids_crc32 == zlib.crc32(np.array(want[p.start : p.start + p.length], "<u4").tobytes())
+    assert got.groupby("sequence_id").length.sum().max() <= 256
+    for _, own in got.sort_values("offset").groupby("sequence_id"):
+        assert own.offset.tolist() == [0, *own.length.cumsum().tolist()[:-1]]
+    assert got.sequence_id.nunique() <= 1.05 * got.length.sum() / 256 + 1
+
+
+def test_open_bins_close_the_fullest_first():
+    bins = packing.OpenBins(10, 2)
+    assert [bins.place(6), bins.place(7)] == [(0, 0), (1, 0)]
+    assert bins.place(4) == (0, 6)  # fills its bin, which leaves
+    assert bins.place(5) == (2, 0)
+    assert bins.place(8) == (3, 0)  # bin 1, with three left, has closed
+    assert bins.place(3) == (2, 5)
+
+
+# Quality and toxicity
+
+
+def accuracy(rows, label):
+    return np.mean([(r.predicted == r[label]) for r in rows if r.held_out])
+
+
+def test_quality_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    machine = quality.train_quality(docs, labels, max_labelled=1500)
+    assert len(machine.weights) > 0
+    scored = quality.score_quality(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), machine)
+    rows = scored.join(labels, "doc_id").collect()
+    assert accuracy(rows, "quality") > 0.97
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+
+
+def test_factorisation_machine_identity():
+    rng = np.random.default_rng(0)
+    machine = quality.Machine(20, 0.3, rng.normal(size=20), rng.normal(size=(20, 4)))
+    index, value = np.array([1, 4, 9, 13]), np.array([0.5, 2.0, -1.0, 0.25])
+    pairs = sum(
+        machine.factors[index[a]] @ machine.factors[index[b]] * value[a] * value[b] for a in range(4) for b in range(a)
+    )
+    assert machine.margin(index, value) == pytest.approx(0.3 + machine.weights[index] @ value + pairs)
+
+
+def toxic_sample(seed=0, n=400):
+    rng = random.Random(seed)
+    words = base_text(1, 300)
+    rows = []
+    for i in range(n):
+        own = rng.choices(words, k=rng.randint(5, 80))
+        if i % 3 == 0:
+            own[rng.randrange(len(own))] = rng.choice(("zorgling", "quixbert"))
+        rows.append((" ".join(own), int(i % 3 == 0)))
+    return rows
+
+
+def test_toxicity_shares_ngrams_with_misspellings():
+    rows = toxic_sample()
+    model = toxicity.fit([t for t, _ in rows[:300]], [y for _, y in rows[:300]])
+    scorer = model.scorer()
+    hits = [(scorer.score(t) >= 0.3) == (y == 1) for t, y in rows[300:]]
+    assert np.mean(hits) > 0.95
+    clean = " ".join(base_text(1, 40))
+    assert scorer.score(clean + " zorglling") > scorer.score(clean)
+    assert scorer["zorglinq"] > scorer["abcabc"]
+
+
+@pytest.mark.parametrize("kind", ["quality", "toxicity"])
+def test_classifiers_on_odd_rows(spark, kind):
+    docs = documents(spark, [*ODD, "twice", "twice"], [None, *range(len(ODD) - 1), 90, 90])
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    empty = docs.where("false")
+    if kind == "quality":
+        machine = quality.train_quality(docs, none)
+        score, train = lambda d: quality.score_quality(d, machine), lambda d: quality.train_quality(d, none)
+    else:
+        model = toxicity.train_toxicity(docs, none)
+        score, train = lambda d: toxicity.score_toxicity(d, model), lambda d: toxicity.train_toxicity(d, none)
+    rows = score(docs).collect()
+    assert len(rows) == len(ODD) + 2
+    assert all(0 <= r.score <= 1 for r in rows)
+    train(empty)
+    assert score(empty).count() == 0
+
+
+def test_classifier_stage_keeps_all_columns(spark):
+    docs = documents(spark, ["fine text", None]).withColumn("n_chars", F.lit(3).cast("long"))
+    machine = quality.fit([], 64)
+    assert sorted(map(repr, quality.keep_good(docs, machine).collect())) == sorted(map(repr, docs.collect()))
+
+
+# Page text
+
+
+def test_main_text_of_pages(spark):
+    pages = {
+        1: '<html><head><title>t</title></head><body><nav><ul><li><a href="/a">one</a></li><li><a href="/b">two</a></li>'
+        '<li><a href="/c">three</a></li></ul></nav><div class="ad">Buy now.</div><article><h1>Head&amp;line</h1>'
+        "<p>First  words,\n of a <b>text</b>.<p>Second, longer paragraph of the text. It has sentences.</p>"
+        '</article><section class="comments"><div class="comment"><p>Nice, thanks.</p></div></section>'
+        "<footer>&copy; Someone</footer><script>var x = '<p>no</p>';</script></body></html>",
+        2: None,
+        3: "",
+        4: "<!-- only a comment --><script>x",
+    }
+    rows = [(k, "u", v, "clash") for k, v in pages.items()] + [(1, "again", pages[1], "clash")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = html_text.extract_text(df).collect()
+    want = "Head&line\n\nFirst words, of a text.\n\nSecond, longer paragraph of the text. It has sentences."
+    assert sorted((r.page_id, r.url, r.text, r.n_chars) for r in got) == sorted(
+        [(1, "u", want, len(want)), (1, "again", want, len(want)), (2, "u", "", 0), (3, "u", "", 0), (4, "u", "", 0)]
+    )
+    assert html_text.extract_text(df.where("false")).count() == 0
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(4)
+    parent, depth = np.array([-1, 0, 0, 1, 1]), np.array([0, 1, 1, 2, 2])
+    unary, pair = rng.normal(size=(5, 2)), rng.normal(size=(5, 2, 2))
+    total, ones = 0.0, np.zeros(5)
+    for code in range(32):
+        y = [code >> i & 1 for i in range(5)]
+        weight = math.exp(sum(unary[i, y[i]] for i in range(5)) + sum(pair[i, y[parent[i]], y[i]] for i in range(1, 5)))
+        total += weight
+        ones += weight * np.array(y)
+    node, joint = html_text.sum_product(unary, pair, parent, depth)
+    assert node[:, 1] == pytest.approx(ones / total)
+    assert joint[3].sum(axis=0)[1] == pytest.approx(node[3, 1])
+
+
+def test_page_model_on_unseen_labelled_pages():
+    model = html_text.trained_model()
+    pages = [html_text.parse(p) for p in html_text.labelled_pages(60, seed=77)]
+    labels = np.array([x for p in pages for x in p.label])
+    assert np.mean((model.marginals(pages) >= 0.5) == labels) > 0.99
+
+
+# Near duplicates
+
+
+def edited(words, seed, edits):
+    rng, out = random.Random(seed), list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(out))
+        out[at : at + 1] = rng.choice(([], ["new"], [out[at], "more"]))
+    return out
+
+
+def brute_classes(texts, threshold=0.8):
+    numbers = order_minhash.WordNumbers()
+    values = {i: order_minhash.shingles(numbers.of(t or "")) for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(texts)
+    for k, i in enumerate(ids):
+        for j in ids[k + 1 :]:
+            shared = (Counter(values[i].tolist()) & Counter(values[j].tolist())).total()
+            if shared and shared >= threshold * (len(values[i]) + len(values[j]) - shared):
+                if slow_aligned(values[i].tolist(), values[j].tolist(), threshold):
+                    a, b = sorted((root(i), root(j)))
+                    parent[b] = a
+    return {i: root(i) for i in texts}
+
+
+def slow_aligned(a, b, threshold):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1] >= threshold * (len(a) + len(b) - row[-1]) - 1e-9
+
+
+def near_texts():
+    found = {}
+    for g in range(6):
+        base = base_text(g, 60 + 40 * g)
+        for v in range(8):
+            found[10 * g + v] = " ".join(edited(base, 100 * g + v, v % 4))
+    found |= {200: "four words only here", 201: "Four  words, only HERE", 202: None, 203: "", 204: "??", 205: "??"}
+    found[206] = " ".join(["same"] * 50)
+    found[207] = " ".join(["same"] * 48)
+    found[208] = " ".join(["same"] * 20)
+    return found
+
+
+@pytest.mark.parametrize("block", [4, 2048])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    found = near_texts()
+    got = order_minhash.near_duplicates(documents(spark, list(found.values()), list(found))).collect()
+    assert {r.doc_id: r.class_id for r in got} == brute_classes(found)
+    assert all(r.kept == (r.doc_id == r.class_id) for r in got)
+
+
+def test_one_row_of_each_class_stays(spark):
+    docs = documents(spark, ["a b c d e f", "A b, c d e f", "x", "x", None, None], [4, 2, 7, 7, None, None])
+    kept = order_minhash.keep_representatives(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 2), (False, 7), (True, None), (True, None)]
+    assert order_minhash.keep_representatives(docs.where("false")).count() == 0
+
+
+def test_sketches_depend_on_order():
+    words = np.arange(400, dtype=np.uint32)
+    swapped = np.concatenate([words[200:], words[:200]])
+    a, b = (order_minhash.sketch(order_minhash.shingles(w)) for w in (words, swapped))
+    assert 0 < (a == b).sum() < order_minhash.SKETCHES - 8
+
+
+def test_banded_alignment_equals_the_full_table():
+    rng = random.Random(3)
+    for _ in range(200):
+        a = [rng.randrange(6) for _ in range(rng.randint(8, 30))]
+        b = edited(a, rng.random(), rng.randint(0, 6)) or [1]
+        b = [x if isinstance(x, int) else 9 for x in b]
+        got = order_minhash.aligned(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64), 0.8)
+        assert got == slow_aligned(a, b, 0.8)
+
+
+def test_components(spark):
+    rng = random.Random(8)
+    pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
+    parent = {x: x for p in pairs for x in p}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in pairs:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    got = components.components(spark.createDataFrame(pairs, "a long, b long"))
+    loops = {a for a, b in pairs if a == b}
+    assert {r.node: r.component for r in got.collect()} == {i: root(i) for i in parent if i not in loops or root(i) != i or i in {x for a, b in pairs if a != b for x in (a, b)}}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# Long repeats
+
+
+def brute_repeats(rows):
+    seen, found = set(), {}
+    for i, text in sorted((i, t or "") for i, t in rows):
+        data = text.encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - 99):
+            window = data[p : p + 100]
+            if window in seen:
+                gone[p : p + 100] = b"\1" * 100
+            seen.add(window)
+        rest = bytes(c for c, g in zip(data, gone, strict=True) if not g)
+        spans = sum(1 for k in range(len(data)) if gone[k] and not (k and gone[k - 1]))
+        found[i] = (len(data), sum(gone), spans, hashlib.sha256(rest).hexdigest())
+    return found
+
+
+def repeat_texts():
+    rng = random.Random(6)
+    passage = " ".join(base_text(9, 60))
+    found = {}
+    for i in range(40):
+        own = " ".join(base_text(50 + i, rng.randint(3, 60)))
+        cut = rng.randrange(len(passage))
+        found[i] = own + passage[cut : cut + rng.randint(20, 300)] + own[: rng.randint(0, 200)]
+    found |= {50: "é" * 300, 51: "xy" * 400, 52: None, 53: "", 54: found[3], 55: "a" * 100, 56: "a" * 100, 57: "a" * 99}
+    return found
+
+
+@pytest.mark.parametrize(("batches", "many"), [(1, 20_000), (2, 3), (6, 20_000)])
+def test_repeats_equal_brute_force(spark, monkeypatch, batches, many):
+    monkeypatch.setattr(suffix_index, "MANY", many)
+    found = repeat_texts()
+    docs = documents(spark, list(found.values()), list(found))
+    got = suffix_index.removal_report(docs, batches).collect()
+    want = brute_repeats(found.items())
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+
+
+def test_levels_merge_geometrically(spark):
+    index, sizes = suffix_index.SuffixIndex(), []
+    docs = documents(spark, [" ".join(base_text(i, 60)) for i in range(6)])
+    for i in range(6):
+        index.add(docs.where(F.col("doc_id") == i), docs)
+        sizes.append(sorted(s for s, _ in index.levels))
+    assert sizes == [[1], [2], [1, 2], [4], [1, 4], [2, 4]]
+
+
+def test_repeats_are_cut_in_whole_characters(spark):
+    docs = documents(spark, ["é" * 200, "x" + "é" * 200, None, "", "q" * 150, "q" * 150]).withColumn("n_chars", F.lit(9))
+    got = {r.doc_id: r for r in suffix_index.remove_repeats(docs).collect()}
+    assert set(got) == {0, 1, 2, 3, 4}
+    assert got[1].text == "x" and got[1].n_chars == 1
+    assert got[2].text is None and got[2].n_chars == 9
+    assert suffix_index.remove_repeats(docs.where("false")).count() == 0
+
+
+# Decontamination
+
+
+def brute_contamination(docs, items, length=10):
+    fold = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    word = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+    windows = defaultdict(set)
+    for item, text in items:
+        words = word.findall((text or "").translate(fold))
+        n = min(length, len(words))
+        for k in range(len(words) - n + 1 if n else 0):
+            windows[tuple(words[k : k + n])].add(item)
+    out = {}
+    for i, text in docs:
+        words = word.findall((text or "").translate(fold))
+        hit, found = [0] * len(words), set()
+        for n in {len(w) for w in windows}:
+            for k in range(len(words) - n + 1):
+                if own := windows.get(tuple(words[k : k + n])):
+                    found |= own
+                    hit[k : k + n] = [1] * n
+        names = sorted(str(x) for x in found if x is not None)
+        out[i] = (len(words), sum(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(sum(hit)))
+    return out
+
+
+def contaminated():
+    items = [(i, " ".join(base_text(500 + i, 14 + i))) for i in range(12)]
+    items += [(90, "Short ITEM-here"), (91, "one"), (92, None), (93, "--"), (94, items[3][1]), (95, "a a a a a a a a a a a")]
+    docs = {}
+    for i in range(30):
+        words = base_text(700 + i, 60)
+        if i % 3 == 0:
+            words[20:20] = items[i % 12][1].split()[: 8 + i % 9]
+        docs[i] = " ".join(words)
+    docs |= {60: "x Short, item here y", 61: "ONE", 62: None, 63: "", 64: "a " * 30, 65: "é One"}
+    return docs, items
+
+
+def test_contamination_equals_brute_force(spark):
+    docs, items = contaminated()
+    table = with_clashes(spark.createDataFrame(items, "item_id long, text string"))
+    df = documents(spark, list(docs.values()), list(docs))
+    got = decontamination.contamination_report(df, table).collect()
+    want = brute_contamination(docs.items(), items)
+    assert {r[0]: tuple(r)[1:] for r in got} == want
+    heads, matches = decontamination.find_contamination(df, table, max_item_words=60)
+    hit = {r.doc_id for r in heads.join(matches, "row", "left_semi").collect()}
+    assert hit == {i for i, w in want.items() if w[4]}
+    left = decontamination.drop_contaminated(df, table)
+    assert {r.doc_id for r in left.collect()} == {i for i, w in want.items() if not w[4]}
+    assert decontamination.drop_contaminated(df, table.where("false")).count() == len(docs)
+    assert decontamination.contamination_report(df.where("false"), table).count() == 0
+
+
+def test_proximity_matches(spark):
+    items = spark.createDataFrame([(1, "red green blue")], "item_id long, text string")
+    docs = documents(spark, ["blue x red y green", "red green x x x x x x x x x x x x blue", "red green"])
+    heads, near = decontamination.find_contamination(docs, items, length=3, width=5)
+    assert [r.doc_id for r in heads.join(near, "row", "left_semi").collect()] == [0]
+
+
+# Language-model scores
+
+
+def test_lm_scores_equal_brute_force(spark, texts):
+    docs = {**{i: t for i, t in texts.items() if i < 60}, 900: None, 901: "", 902: "once seen", 903: "A b a b a"}
+    df = documents(spark, list(docs.values()), list(docs))
+    got = {r.doc_id: r for r in lm_scores.score_documents(df).collect()}
+    words = {i: [w.decode() for w in decontamination.words_of(t or "")] for i, t in docs.items()}
+    one = Counter(w for ws in words.values() for w in ws)
+    two = Counter(p for ws in words.values() for p in zip(ws, ws[1:], strict=False))
+    total = sum(one.values())
+    for i, ws in words.items():
+        own1, own2, n = Counter(ws), Counter(zip(ws, ws[1:], strict=False)), total - len(ws)
+        score, backed = 0.0, 0
+        for k, w in enumerate(ws):
+            c = one[w] - own1[w]
+            value = math.log(c / n) if c else math.log(0.4 / n)
+            if k:
+                pair = (ws[k - 1], w)
+                if both := two[pair] - own2[pair]:
+                    value = math.log(both / (one[pair[0]] - own1[pair[0]]))
+                else:
+                    value, backed = value + math.log(0.4), backed + 1
+            score += value
+        assert got[i].n_words == len(ws) and got[i].n_backoff == backed
+        assert got[i].lm_score == (pytest.approx(score / len(ws)) if ws else None)
+    alone = lm_scores.score_documents(documents(spark, ["only one text"])).collect()
+    assert [r.lm_score for r in alone] == [None]
+    assert lm_scores.score_documents(df.where("false")).count() == 0
+
+
+# Near-duplicate vectors
+
+
+def vectors(seed=0, dim=24):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(30):
+        base = rng.normal(size=dim)
+        for v in range(6):
+            rows.append((len(rows), (base + v * 0.04 * rng.normal(size=dim)).tolist(), g % 3))
+    rows += [(len(rows) + k, rows[0][1], 0) for k in range(5)]
+    odd = [None, [0.0] * dim, [float("nan")] * dim, [float("inf")] + [1.0] * (dim - 1), [None] + [1.0] * (dim - 1), [], [1.0, 2.0]]
+    rows += [(1000 + k, x, 0) for k, x in enumerate(odd)] + [(2000, rows[0][1], None), (2001, [1.0, 2.0], 0)]
+    return rows
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_near_vectors_equal_brute_force(spark, block):
+    rows = vectors()
+    schema = "vec_id long, embedding array<float>, label int"
+    df = with_clashes(spark.createDataFrame(rows, schema).withColumnRenamed("label", "l").withColumnRenamed("l", "label"))
+    got = {r.vec_id: r for r in embedding_dedup.near_vectors(df, block=block).collect()}
+    assert len(got) == len(rows)
+    plain = {}
+    for i, x, label in rows:
+        if x and label is not None and all(c is not None and math.isfinite(c) for c in x) and any(x):
+            unit = np.array(x, dtype=np.float32).astype(float)
+            plain[i] = (unit / np.linalg.norm(unit), label)
+    links, parent = Counter(), {i: i for i, _, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, (a, la) in plain.items():
+        for j, (b, lb) in plain.items():
+            if i < j and la == lb and len(a) == len(b) and a @ b >= 0.98:
+                links[i] += 1
+                links[j] += 1
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    assert sum(links.values()) > 150
+    assert sum(r.n_links for r in got.values()) >= 0.95 * sum(links.values())
+    for i, r in got.items():
+        assert r.n_links <= links[i]
+        if r.n_links == links[i] == 0:
+            assert (r.component_id, r.kept) == (i, True)
+    agree = np.mean([r.n_links == links[i] and r.component_id == root(i) for i, r in got.items()])
+    assert agree > 0.95
+    assert embedding_dedup.near_vectors(df.where("false")).count() == 0
+
+
+def test_rotation_balances_bits():
+    rng = np.random.default_rng(1)
+    sample = rng.normal(size=(2000, 16)) * np.linspace(3, 0.5, 16)
+    turn = embedding_dedup.learn_rotation(sample, rng)
+    assert turn.T @ turn == pytest.approx(np.eye(16), abs=1e-8)
+    assert (np.abs((sample @ turn > 0).mean(axis=0) - 0.5) < 0.1).all()
