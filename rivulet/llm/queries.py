@@ -20,6 +20,7 @@ from rivulet.llm import (
     token_counts,
     toxicity,
 )
+from rivulet.llm.oracles import ORACLES as ORACLES
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,5 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality": op10_quality,
 }
-
-ORACLES: dict[str, str] = {}
