@@ -32,6 +32,10 @@ updates as (
   from events where event_type in ('signup', 'purchase')
 )"""
 
+# Queries of readings alone or of updates alone take all events.
+_ALL_READINGS = _READINGS.replace(" where event_type in ('click', 'view', 'error')", "")
+_ALL_UPDATES = _UPDATES.replace(" where event_type in ('signup', 'purchase')", "")
+
 # Curve points of every conversion update, as rows and with a flag for usable curves.
 _CURVES = r"""
 curve_texts as (
@@ -344,14 +348,14 @@ select event_id, 's' || cast(user_id as varchar) as sensorid, {_MS} as timestamp
 from (select *, {_BOUNDS} from events) where event_id % 3 <> 2
 """,
     "encode_reading": f"""
-with {_READINGS}
+with {_ALL_READINGS}
 select reading_id, sensorid as key, sensorid, make_timestamp(epoch_us(timestamp) // 1000 * 1000) as timestamp,
   round(rawValue, 4) as rawValue, 'HERE' as location, 'WGS_DEV' as type, 'UNKNOWN' as unit,
   round(rawValue, 4) as conValue, cast(999 as bigint) as gridCell
 from readings
 """,
     "encode_update": f"""
-with {_UPDATES}
+with {_ALL_UPDATES}
 select update_id, sensorid as key, sensorid, make_timestamp(epoch_us(timestamp) // 1000 * 1000) as timestamp,
   parameter, value
 from updates
@@ -362,13 +366,13 @@ select event_id, 's' || cast(user_id as varchar) as key, 's' || cast(user_id as
 from (select *, {_BOUNDS} from events)
 """,
     "fake_enrich": f"""
-with {_READINGS}
+with {_ALL_READINGS}
 select reading_id, sensorid, timestamp, round(rawValue, 4) as rawValue, 'HERE' as location,
   'WGS_DEV' as type, round(rawValue, 4) as conValue, 'UNKNOWN' as unit, cast(999 as bigint) as gridCell
 from readings
 """,
     "parse_curve": f"""
-with {_UPDATES}, {_CURVES}
+with {_ALL_UPDATES}, {_CURVES.replace(" where parameter = 'conversion'", "")}
 select update_id, pos, round(x, 4) as x, round(y, 4) as y
 from curve_points where update_id in (select update_id from good_curves)
 """,
@@ -380,7 +384,7 @@ select event_id, round(case
 from events
 """,
     "assign_cell": f"""
-with {_UPDATES}, {_CELLS}
+with {_ALL_UPDATES}, {_CELLS.replace(" where parameter = 'geolocation'", "")}
 select update_id, value, cast(coalesce(cell, 999) as bigint) as gridCell from cells
 """,
     "alert_severity": f"""
@@ -403,12 +407,12 @@ from probes p asof left join updates u
   on p.sensorid = u.sensorid and p.parameter = u.parameter and p.timestamp > u.timestamp
 """,
     "latest_parameters": f"""
-with {_UPDATES}
+with {_ALL_UPDATES}
 select sensorid, parameter, arg_max(value, timestamp) as value, max(timestamp) as timestamp
 from updates group by sensorid, parameter
 """,
     "param_versions": f"""
-with {_UPDATES}, ranked as (
+with {_ALL_UPDATES}, ranked as (
   select *, row_number() over (partition by sensorid, parameter order by timestamp desc) as k from updates
 )
 select sensorid, parameter,
@@ -417,7 +421,7 @@ select sensorid, parameter,
 from ranked group by sensorid, parameter
 """,
     "pivot_attributes": f"""
-with {_UPDATES}
+with {_ALL_UPDATES}
 select sensorid, {", ".join(
         f"arg_max(value, timestamp) filter (parameter = '{p}') as {p}"
         for p in ("geolocation", "cell", "type", "unit", "conversion")
@@ -479,7 +483,7 @@ select window_start, sensorid, timestamp, round(last, 4) as value, round(lower,
 from forecasts where last < lower or last > upper
 """,
     "store_measurements_first_wins": f"""
-with {_READINGS}, arrivals as (
+with {_ALL_READINGS}, arrivals as (
   select *, 0 as arrival, 'STORED' as type from readings where reading_id % 3 = 0
   union all select *, 1, 'WGS_DEV' from readings
   union all select *, 2, 'LATE' from readings
@@ -490,7 +494,7 @@ from (select *, row_number() over (partition by sensorid, timestamp order by arr
 where k = 1
 """,
     "store_parameters_first_wins": f"""
-with {_UPDATES}, arrivals as (
+with {_ALL_UPDATES}, arrivals as (
   select *, 1 as arrival from updates
   union all select update_id, sensorid, timestamp, parameter, 'late', 2 from updates
 )
@@ -499,7 +503,7 @@ select sensorid, timestamp, parameter, value from (
 ) where k = 1
 """,
     "store_parameters_last_wins": f"""
-with {_UPDATES}, arrivals as (
+with {_ALL_UPDATES}, arrivals as (
   select *, 1 as arrival from updates
   union all select update_id, sensorid, timestamp, parameter, 'new ' || value, 2 from updates
 )

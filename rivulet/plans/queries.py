@@ -123,7 +123,7 @@ def fake_enrich(spark, sf_dir):
 
 @_query
 def parse_curve(spark, sf_dir):
-    texts = fixtures.updates(spark, sf_dir).where(F.col("parameter") == "conversion")
+    texts = fixtures.updates(spark, sf_dir)
     points = texts.select("update_id", F.posexplode(curves.parse_curve(F.col("value"))).alias("pos", "point"))
     return _report(
         points.select("update_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "point.x", "point.y")
@@ -145,7 +145,7 @@ def convert_values(spark, sf_dir):
 
 @_query
 def assign_cell(spark, sf_dir):
-    located = fixtures.updates(spark, sf_dir).where(F.col("parameter") == "geolocation")
+    located = fixtures.updates(spark, sf_dir)
     cell = F.coalesce(geolocation_cell(F.col("value")), F.lit(UNKNOWN_CELL).cast("bigint"))
     return located.select("update_id", "value", cell.alias("gridCell"))
 
@@ -169,7 +169,7 @@ def alert_messages(spark, sf_dir):
 @_query
 def enrich_asof(spark, sf_dir):
     return _report(
-        enrich.enrich_asof(fixtures.readings(spark, sf_dir), fixtures.updates(spark, sf_dir), "update_id")
+        enrich.enrich_asof(fixtures.readings(spark, sf_dir, joined=True), fixtures.updates(spark, sf_dir, joined=True), "update_id")
     )
 
 
@@ -178,8 +178,8 @@ def enrich_asof_split(spark, sf_dir):
     """The same result with every sensor cut into time buckets."""
     return _report(
         enrich.enrich_asof(
-            fixtures.readings(spark, sf_dir),
-            fixtures.updates(spark, sf_dir),
+            fixtures.readings(spark, sf_dir, joined=True),
+            fixtures.updates(spark, sf_dir, joined=True),
             "update_id",
             bucket_seconds=3_600,
         )
@@ -189,13 +189,13 @@ def enrich_asof_split(spark, sf_dir):
 @_query
 def lookup_asof(spark, sf_dir):
     """Type and unit valid at every reading, as lookups for single parameters."""
-    probes = fixtures.readings(spark, sf_dir).select(
+    probes = fixtures.readings(spark, sf_dir, joined=True).select(
         "reading_id",
         "sensorid",
         "timestamp",
         F.explode(F.array(F.lit("type"), F.lit("unit"))).alias("parameter"),
     )
-    return _report(enrich.lookup_asof(probes, fixtures.updates(spark, sf_dir), "update_id"))
+    return _report(enrich.lookup_asof(probes, fixtures.updates(spark, sf_dir, joined=True), "update_id"))
 
 
 @_query

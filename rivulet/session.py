@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -37,10 +35,8 @@ def build_session(master: str | None = None, app: str = "rivulet", **conf: str)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names, or a local one where none is named."""
+    """The shared folder that the session names; a job that restarts must find it again."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not root:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="rivulet-")
+    return root.rstrip("/")

@@ -18,43 +18,45 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw readings of one sensor per user."""
-    return (
-        events(spark, sf_dir)
-        .where(F.col("event_type").isin("click", "view", "error"))
-        .selectExpr(
-            "event_id as reading_id",
-            "'s' || cast(user_id as string) as sensorid",
-            "ts as timestamp",
-            "value as rawValue",
-        )
+def readings(spark: SparkSession, sf_dir: str, joined: bool = False) -> DataFrame:
+    """Raw readings of one sensor per user.
+
+    Where readings and updates are ``joined`` each takes its share of the event
+    types, and both together the whole table.
+    """
+    rows = events(spark, sf_dir)
+    if joined:
+        rows = rows.where(F.col("event_type").isin("click", "view", "error"))
+    return rows.selectExpr(
+        "event_id as reading_id",
+        "'s' || cast(user_id as string) as sensorid",
+        "ts as timestamp",
+        "value as rawValue",
     )
 
 
-def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def updates(spark: SparkSession, sf_dir: str, joined: bool = False) -> DataFrame:
     """Attribute updates, some of them with values that do not parse."""
-    return (
-        events(spark, sf_dir)
-        .where(F.col("event_type").isin("signup", "purchase"))
-        .selectExpr(
-            "event_id as update_id",
-            "'s' || cast(user_id as string) as sensorid",
-            "ts as timestamp",
-            """case event_id % 5 when 0 then 'geolocation' when 1 then 'cell' when 2 then 'type'
-               when 3 then 'unit' else 'conversion' end as parameter""",
-            """case event_id % 5
-               when 0 then case when event_id % 35 = 0 then 'nowhere'
-                 else '52.' || lpad(cast(event_id % 1000 as string), 3, '0')
-                   || ',13.' || lpad(cast(event_id % 700 as string), 3, '0') end
-               when 1 then cast(event_id % 7 as string)
-               when 2 then 'T' || cast(event_id % 3 as string)
-               when 3 then case event_id % 2 when 0 then 'mm' else 'l/s' end
-               else case when event_id % 45 = 4 then '[(0,0)]'
-                 else '[(0, 0),(50.5,' || cast(event_id % 90 + 1 as string)
-                   || '),(300,' || cast(event_id % 90 + 200 as string) || ')]' end
-               end as value""",
-        )
+    rows = events(spark, sf_dir)
+    if joined:
+        rows = rows.where(F.col("event_type").isin("signup", "purchase"))
+    return rows.selectExpr(
+        "event_id as update_id",
+        "'s' || cast(user_id as string) as sensorid",
+        "ts as timestamp",
+        """case event_id % 5 when 0 then 'geolocation' when 1 then 'cell' when 2 then 'type'
+           when 3 then 'unit' else 'conversion' end as parameter""",
+        """case event_id % 5
+           when 0 then case when event_id % 35 = 0 then 'nowhere'
+             else '52.' || lpad(cast(event_id % 1000 as string), 3, '0')
+               || ',13.' || lpad(cast(event_id % 700 as string), 3, '0') end
+           when 1 then cast(event_id % 7 as string)
+           when 2 then 'T' || cast(event_id % 3 as string)
+           when 3 then case event_id % 2 when 0 then 'mm' else 'l/s' end
+           else case when event_id % 45 = 4 then '[(0,0)]'
+             else '[(0, 0),(50.5,' || cast(event_id % 90 + 1 as string)
+               || '),(300,' || cast(event_id % 90 + 200 as string) || ')]' end
+           end as value""",
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-# Writer settings for Kafka: batch size in bytes and milliseconds to wait for a batch.
+# Writer settings for Kafka, batch size in bytes and milliseconds to wait for a batch.
 KAFKA_BATCH_OPTIONS = {"kafka.batch.size": "16384", "kafka.linger.ms": "1000"}
 
 
