@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators import archive, decode, encode
@@ -72,8 +73,8 @@ def run_enrichment(
 ) -> list[StreamingQuery]:
     """Raw packets and attribute updates in, enriched readings and archived updates out.
 
-    ``from_archive`` looks attributes up in the parameters table instead of
-    keeping them as state. ``cold_start`` fills the state with all its versions.
+    ``from_archive`` looks attributes up in the parameters table, into which each
+    batch's updates go first, instead of keeping them as state. ``cold_start`` fills the state with all its versions.
     ``rejects`` receives packets and entries that were not understood.
     """
     use_utc(spark)
@@ -84,19 +85,26 @@ def run_enrichment(
     packets = read_topic(spark, raw, latest)
     readings = decode.parse_packets(packets)
     changes = decode.decode_update(read_topic(spark, updates, latest))
-    stored = _archive(changes, parameters, f"{folder}/parameters", available_now, interval, upsert=True)
-    queries = [stored]
-
     if from_archive:
-
-        def enrich_and_send(batch: DataFrame, batch_id: int) -> None:
-            enriched = enrich_batch(batch, tables.stored(batch.sparkSession, parameters))
-            _send(encode.encode_reading(enriched), rich, batch_id)
-
-        queries.append(
-            _each_batch(readings, enrich_and_send, f"{folder}/rich", available_now, interval)
+        both = readings.select("sensorid", "timestamp", "rawValue").unionByName(
+            changes.select("sensorid", "timestamp", "parameter", "value"), allowMissingColumns=True
         )
+
+        def store_and_enrich(batch: DataFrame, batch_id: int) -> None:
+            # The batch's updates first, so that its readings see them.
+            batch = batch.persist()
+            try:
+                news = batch.where("parameter is not null").drop("rawValue")
+                tables.upsert_last_wins(news, parameters)
+                came = batch.where("parameter is null").drop("parameter", "value")
+                enriched = enrich_batch(came, tables.stored(batch.sparkSession, parameters))
+                _send(encode.encode_reading(enriched), rich, batch_id)
+            finally:
+                batch.unpersist()
+
+        queries = [_each_batch(both, store_and_enrich, f"{folder}/rich", available_now, interval)]
     else:
+        queries = [_archive(changes, parameters, f"{folder}/parameters", available_now, interval, upsert=True)]
         initial = None
         if cold_start:
             initial = tables.current_rows(spark, parameters)
@@ -113,9 +121,16 @@ def run_enrichment(
 
 
 def _send(messages: DataFrame, topic: Topic, batch_id: int) -> None:
-    """Write one micro-batch to a topic."""
+    """Write one micro-batch to a topic. Tables and folders take a repeated batch's place."""
     if topic.format == "table":
-        messages.write.mode("append").saveAsTable(topic.name)
+        rows = messages.select("key", "value", F.lit(batch_id).cast("bigint").alias("batch"))
+        if messages.sparkSession.catalog.tableExists(topic.name):
+            messages.sparkSession.sql(
+                f"INSERT OVERWRITE TABLE {topic.name} PARTITION (batch = {int(batch_id)}) SELECT key, value FROM {{rows}}",
+                rows=rows,
+            )
+        else:
+            rows.write.partitionBy("batch").saveAsTable(topic.name)
     elif topic.format == "kafka":
         messages.write.format("kafka").options(**{"topic": topic.name, **topic.options}).save()
     else:

@@ -142,6 +142,18 @@ def test_forecast(spark, topic, tmp_path):
     assert (MS + 300_000 * 23, 500.0) in got
 
 
+def test_repeated_batch_takes_its_place(spark, topic):
+    rows = spark.createDataFrame([("a", "1"), ("b", "2")], "key string, value string")
+    target = Topic("table", "repeated_topic")
+    try:
+        for batch in (0, 1, 1):
+            jobs._send(rows, target, batch)
+        assert spark.table("repeated_topic").count() == 4
+        assert read_topic(spark, target, streaming=False).columns == ["value"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS repeated_topic")
+
+
 def test_passthrough(spark, topic, tmp_path, database, rows):
     raw = topic("raw", [f'{{"n":"s1","t":{MS // 1000},"v":4,"u":"mm"}}'])
     rich = sink(tmp_path, "rich")
