@@ -96,10 +96,18 @@ def parse_entries(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def parse_packets(
-    df: DataFrame, formats: Sequence[str] = FORMATS, keep: Sequence[str] = ()
+    df: DataFrame, formats: Sequence[str] = FORMATS, keep: Sequence[str] = (), observe: str | None = None
 ) -> DataFrame:
-    """Good measurements of raw packets: sensorid, timestamp, rawValue."""
-    entries = parse_entries(df, keep).where(F.col("reason").isNull())
+    """Good measurements of raw packets: sensorid, timestamp, rawValue.
+
+    ``observe`` names a metric that counts entries and rejected ones as they pass.
+    """
+    entries = parse_entries(df, keep)
+    if observe:
+        entries = entries.observe(
+            observe, F.count(F.lit(1)).alias("entries"), F.count("reason").alias("rejected")
+        )
+    entries = entries.where(F.col("reason").isNull())
     if set(formats) != set(FORMATS):
         entries = entries.where(F.col("format").isin(*formats))
     return entries.select(*keep, "sensorid", "timestamp", "rawValue")

@@ -75,7 +75,8 @@ def run_enrichment(
 
     ``from_archive`` looks attributes up in the parameters table, into which each
     batch's updates go first, instead of keeping them as state. ``cold_start`` fills the state with all its versions.
-    ``rejects`` receives packets and entries that were not understood.
+    ``rejects`` receives packets and entries that were not understood; the
+    progress of the query counts them as the metric ``packets``.
     """
     use_utc(spark)
     folder = _folder(spark, checkpoint, "enrichment")
@@ -83,7 +84,7 @@ def run_enrichment(
         tables.create_tables(spark, database, tables=["parameters"])
     parameters = f"{database}.parameters"
     packets = read_topic(spark, raw, latest)
-    readings = decode.parse_packets(packets)
+    readings = decode.parse_packets(packets, observe="packets")
     changes = decode.decode_update(read_topic(spark, updates, latest))
     if from_archive:
         both = readings.select("sensorid", "timestamp", "rawValue").unionByName(

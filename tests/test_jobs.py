@@ -66,12 +66,13 @@ def test_enrichment(spark, topic, tmp_path, database, from_archive):
         tables.upsert_last_wins(spark.createDataFrame(rows, UPDATE), f"{database}.parameters")
     raw = topic("raw", [f'{{"n":"S1","t":{MS // 1000 + 5},"v":4}}', '{"other":1}', "broken"])
     rich, rejects = sink(tmp_path, "rich"), sink(tmp_path, "rejects")
-    finish(
-        jobs.run_enrichment(
-            spark, raw, updates, rich, database, str(tmp_path / "cp"), initialize=True,
-            from_archive=from_archive, rejects=rejects, available_now=True,
-        )
+    queries = jobs.run_enrichment(
+        spark, raw, updates, rich, database, str(tmp_path / "cp"), initialize=True,
+        from_archive=from_archive, rejects=rejects, available_now=True,
     )
+    finish(queries)
+    seen = [p["observedMetrics"]["packets"] for q in queries for p in q.recentProgress if "packets" in p["observedMetrics"]]
+    assert sum(m["rejected"] for m in seen) == 2
     [message] = messages(spark, rich)
     assert message == {
         "n": "s1", "t": MS + 5000, "v": 4.0, "g": "UNKNOWN", "r": 7, "ty": "level", "u": "UNKNOWN", "c": 40.0
