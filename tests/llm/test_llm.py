@@ -109,6 +109,15 @@ def test_packing(spark, encoded):
     assert got.sequence_id.nunique() <= 1.05 * got.length.sum() / 256 + 1
 
 
+def test_tokens_of_repeated_and_no_rows(spark):
+    docs = documents(spark, ["one two", "one two", None], [None, 4, 4])
+    rows = token_counts.count_tokens(docs).collect()
+    assert sorted((r.doc_id is None, r.n_tokens) for r in rows) == [(False, 0), (False, 2), (True, 2)]
+    assert packing.pack_documents(docs).groupBy().sum("length").first()[0] == 7
+    assert token_counts.count_tokens(docs.where("false")).count() == 0
+    assert packing.pack_documents(docs.where("false")).count() == 0
+
+
 def test_open_bins_close_the_fullest_first():
     bins = packing.OpenBins(10, 2)
     assert [bins.place(6), bins.place(7)] == [(0, 0), (1, 0)]
