@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -92,7 +93,7 @@ def fit(
     """
     numbers: dict[str, int] = {}
     docs = [
-        np.array([numbers.setdefault(w, len(numbers)) for w in _WORD.findall(t.lower())], dtype=np.int64) for t in texts
+        np.array([numbers.setdefault(w, len(numbers)) for w in _WORD.findall(t.lower())], dtype=np.int32) for t in texts
     ]
     use = [i for i, d in enumerate(docs) if len(d)]
     if not use:
@@ -107,18 +108,24 @@ def fit(
     win_starts = doc_starts[win_doc] + WINDOW * (np.arange(windows.sum()) - win_first[win_doc])
     win_sizes = np.minimum(WINDOW, (doc_starts + doc_sizes)[win_doc] - win_starts)
 
-    bags = [np.array(ngrams(w, buckets)) for w in numbers]
-    in_docs = np.zeros(buckets, dtype=np.int64)
+    grams, bag_ends = array("i"), array("q", [0])
+    for w in numbers:
+        grams.extend(ngrams(w, buckets))
+        bag_ends.append(len(grams))
+    numbers.clear()
+    flat, ends = np.frombuffer(grams, dtype=np.int32), np.frombuffer(bag_ends, dtype=np.int64)
+    in_docs = np.zeros(buckets, dtype=np.int32)
     for doc in docs:
         if len(doc):
-            in_docs[np.unique(np.concatenate([bags[w] for w in np.unique(doc)]))] += 1
+            in_docs[np.unique(np.concatenate([flat[ends[w] : ends[w + 1]] for w in np.unique(doc)]))] += 1
     kept = np.flatnonzero(in_docs >= min_docs)
-    place = np.full(buckets, -1)
+    place = np.full(buckets, -1, dtype=np.int32)
     place[kept] = np.arange(len(kept))
-    bag_sizes = np.array([len(b) for b in bags])
-    flat, owner = place[np.concatenate(bags)], np.repeat(np.arange(len(bags)), bag_sizes)
-    owner, flat = owner[flat >= 0], flat[flat >= 0]
-    weight = 1 / bag_sizes[owner]
+    bag_sizes = np.diff(ends)
+    flat, owner = place[flat], np.repeat(np.arange(len(bag_sizes), dtype=np.int32), bag_sizes)
+    n_words, known = len(bag_sizes), flat >= 0
+    owner, flat = owner[known], flat[known]
+    weight = (1 / bag_sizes).astype(np.float32)[owner]
 
     rng = np.random.default_rng(seed)
     emb, soft = rng.normal(0, 0.1, (len(kept), width)), rng.normal(0, 0.1, (width, 2))
@@ -132,7 +139,7 @@ def fit(
             p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
 
     for epoch in range(whole_epochs + window_epochs):
-        vectors = np.stack([np.bincount(owner, emb[flat, k] * weight, len(bags)) for k in range(width)], axis=1)
+        vectors = np.stack([np.bincount(owner, emb[:, k][flat] * weight, n_words) for k in range(width)], axis=1)
         if epoch < whole_epochs:
             starts, sizes = doc_starts, doc_sizes
         else:
@@ -144,7 +151,7 @@ def fit(
         rows = np.repeat(np.arange(len(use)), sizes)
         within = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         chosen = words[np.repeat(starts, sizes) + within]
-        hidden = np.stack([np.bincount(rows, vectors[chosen, k]) for k in range(width)], axis=1) / sizes[:, None]
+        hidden = np.stack([np.bincount(rows, vectors[:, k][chosen]) for k in range(width)], axis=1) / sizes[:, None]
         logits = hidden @ soft + bias
         logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits)
@@ -154,9 +161,10 @@ def fit(
         error[:, 0] -= 1 - target
         error /= len(use)
         to_doc = error @ soft.T / sizes[:, None]
-        per_word = np.stack([np.bincount(chosen, to_doc[rows, k], len(bags)) for k in range(width)], axis=1)
-        spread = per_word[owner] * weight[:, None]
-        to_emb = np.stack([np.bincount(flat, spread[:, k], len(kept)) for k in range(width)], axis=1)
+        per_word = np.stack([np.bincount(chosen, to_doc[:, k][rows], n_words) for k in range(width)], axis=1)
+        to_emb = np.stack(
+            [np.bincount(flat, per_word[:, k][owner] * weight, len(kept)) for k in range(width)], axis=1
+        )
         update([to_emb + decay * emb, hidden.T @ error + decay * soft, error.sum(axis=0)], epoch + 1)
     share = np.zeros(buckets)
     share[kept] = emb @ (soft[:, 1] - soft[:, 0])
