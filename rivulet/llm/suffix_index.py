@@ -37,7 +37,7 @@ _RANDOM = np.random.default_rng(100)
 _BYTE = _RANDOM.integers(0, 2**63, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-_ENTRY = "gram long, context long, doc long, first int, windows int"
+_ENTRY = "gram long, context long, doc long, first int, windows int, sure boolean"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -90,25 +90,55 @@ class Anchors:
 
 
 def suffix_array(documents: DataFrame) -> DataFrame:
-    """Entries of the documents' anchored suffixes, not yet in order."""
+    """Entries of the documents' anchored suffixes, not yet in order.
+
+    Contexts that a block of documents repeats are found where the block is read. They
+    become a few entries of joined windows, ``sure`` to be repeats, under fingerprints of
+    their own, so copies and periodic texts do not meet in one task.
+    """
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors()
-        for ids, block in common.text_blocks(batches, max_rows=512, max_bytes=4 << 20):
+        for ids, block in common.text_blocks(batches, max_rows=4096, max_bytes=12 << 20):
             found = [anchors.of(text.encode()) for text in block]
-            counts = [len(f[0]) for f in found]
-            columns = [np.concatenate([f[k] for f in found]) for k in range(4)]
-            doc = np.repeat(np.array(ids, dtype=np.int64), counts)
+            gram, context, first, windows = (np.concatenate([f[k] for f in found]) for k in range(4))
+            doc = np.repeat(np.array(ids, dtype=np.int64), [len(f[0]) for f in found])
+            order = np.lexsort((first, doc, context, gram))
+            gram, context, doc, first, windows = (c[order] for c in (gram, context, doc, first, windows))
+            new = np.ones(len(gram), dtype=bool)
+            new[1:] = (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])
+            head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            sure = ~new & ((doc != doc[head]) | (first != first[head]))
+            spans = _joined(doc[sure], first[sure], windows[sure])
+            own = _mix((spans[0].view(np.uint64) + np.uint64(1)) * _STEP + spans[1].view(np.uint64)).view(np.int64)
+            columns = [
+                np.concatenate([c[~sure], x])
+                for c, x in zip((gram, context, doc, first, windows), (own, own, *spans), strict=True)
+            ]
+            columns += [np.concatenate([np.zeros((~sure).sum(), bool), np.ones(len(own), bool)])]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0]), pa.array(columns[1]), pa.array(doc)]
-                + [pa.array(c.astype(np.int32)) for c in columns[2:]],
-                ["gram", "context", "doc", "first", "windows"],
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                ["gram", "context", "doc", "first", "windows", "sure"],
             )
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     return texts.mapInArrow(extract, _ENTRY)
 
 
+def _joined(doc: np.ndarray, first: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of a document as one where they meet."""
+    if not len(doc):
+        return doc, first, windows
+    order = np.lexsort((first, doc))
+    doc, first, windows = doc[order], first[order], windows[order]
+    start = np.ones(len(doc), dtype=bool)
+    start[1:] = (doc[1:] != doc[:-1]) | (first[1:] > first[:-1] + windows[:-1])
+    at = np.flatnonzero(start)
+    ends = np.maximum.reduceat(first + windows, at)
+    return doc[at], first[at], ends - first[at]
+
+
 class SuffixIndex:
     """Levels of suffix arrays over the documents added so far."""
 
@@ -123,7 +153,7 @@ class SuffixIndex:
         """
         entries = suffix_array(batch).withColumn("new", F.lit(True))
         for _, level in self.levels:
-            entries = entries.unionByName(level.withColumn("new", F.lit(False)))
+            entries = entries.unionByName(level.withColumns({"sure": F.lit(False), "new": F.lit(False)}))
         scanned = self._scan(entries)
         if not keep:
             scanned = scanned.where("repeated or contested")
@@ -144,7 +174,7 @@ class SuffixIndex:
         return (
             entries.repartition(common.partitions(entries.sparkSession), "gram")
             .withColumn("earliest", F.first(F.struct("doc", "first")).over(ranked))
-            .withColumn("repeated", F.col("earliest") != F.struct("doc", "first"))
+            .withColumn("repeated", F.col("sure") | (F.col("earliest") != F.struct("doc", "first")))
             .withColumn(
                 "contested",
                 (F.min("context").over(anchor) != F.max("context").over(anchor)) & F.max("new").over(anchor),
