@@ -67,15 +67,22 @@ class BlockGrams:
         return times[where]
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte, which compresses well if most are small."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
 def _packed(values: np.ndarray) -> bytes:
-    """Rising 64-bit numbers as differences, byte by byte, which compresses well."""
-    steps = np.diff(values, prepend=np.uint64(0))
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Rising 64-bit numbers as their differences."""
+    return _planes(np.diff(values, prepend=np.uint64(0)))
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64)
-    return np.cumsum(steps.ravel(), dtype=np.uint64)
+    return np.cumsum(_numbers(data), dtype=np.uint64)
 
 
 def text_table(documents: DataFrame) -> DataFrame:
@@ -96,7 +103,7 @@ def text_table(documents: DataFrame) -> DataFrame:
             )
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return common.written(texts.mapInArrow(gather, _BLOCK), "blocks")
+    return common.written(texts.mapInArrow(gather, _BLOCK), "blocks", "zstd")
 
 
 def count_tables(blocks: DataFrame, shards: int) -> DataFrame:
@@ -126,7 +133,7 @@ def count_tables(blocks: DataFrame, shards: int) -> DataFrame:
         every, where = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(where, weights=np.concatenate(times)).astype("<i8")
         ends = np.cumsum([len(k) for k in keys])
-        counts = [totals[where[e - len(k) : e]].tobytes() for k, e in zip(keys, ends, strict=True)]
+        counts = [_planes(totals[where[e - len(k) : e]]) for k, e in zip(keys, ends, strict=True)]
         return pa.table(
             {n: group.column(n) for n in ("block", "gram_order", "shard")} | {"counts": pa.array(counts, pa.binary())}
         )
@@ -150,7 +157,10 @@ def score_documents(documents: DataFrame, alpha: float = 0.4) -> DataFrame:
             zip(*(found.column(c).to_pylist() for c in ("gram_order", "shard", "counts")), strict=True),
             key=lambda r: r[:2],
         )
-        tables = {n: np.frombuffer(b"".join(r[2] for r in rows if r[0] == n), "<i8") for n in (1, 2)}
+        tables = {
+            n: np.concatenate([np.empty(0, np.uint64), *(_numbers(r[2]) for r in rows if r[0] == n)]).astype(np.int64)
+            for n in (1, 2)
+        }
         return pa.Table.from_batches(
             _scores(ids, block, tables, total, alpha)
             for ids, block in zip(texts.column("doc_ids").to_pylist(), texts.column("texts").to_pylist(), strict=True)
