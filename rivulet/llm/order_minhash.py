@@ -175,26 +175,28 @@ def _shared(a: Column, b: Column) -> Column:
 def near_duplicates(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Per id of ``documents``: ``class_id``, the least id of its class, and ``kept``."""
     made = common.written(sketches(documents), "sketches")
-    light = made.select("doc", "hash1", "hash2", "sketch")
-    least = light.groupBy("doc").agg(F.min(F.struct("hash1", "hash2")).alias("h"))
-    exact = common.written(
-        least.join(least.groupBy("h").agg(F.min("doc").alias("rep")), "h").select("doc", "rep", "h"), "copies"
-    )
-    reps = exact.where("doc = rep").select("doc", F.col("h.hash1").alias("hash1"), F.col("h.hash2").alias("hash2"))
-    chosen = made.join(reps, ["doc", "hash1", "hash2"]).dropDuplicates(["doc"])
-    whole = common.written(chosen.select("doc", "sketch", "words"), "representatives")
+    same = F.struct("hash1", "hash2")
+    least = made.groupBy("doc").agg(F.min(F.struct("hash1", "hash2", "sketch")).alias("least"))
+    plain = least.select("doc", F.struct("least.hash1", "least.hash2").alias("hash"), "least.sketch")
+    firsts = plain.groupBy("hash").agg(F.min("doc").alias("rep"))
+    exact = common.written(plain.join(firsts, "hash"), "copies")
+    whole = exact.where("doc = rep").select("doc", "hash", "sketch")
 
     keys = F.transform(F.slice("sketch", 1, KEYS), lambda x, i: F.struct(i.alias("number"), x.alias("value")))
     members = whole.select("doc", F.explode(keys).alias("key"))
     buckets = members.groupBy("key").agg(F.min("doc").alias("leader"), F.count("*").alias("size")).where("size > 1")
     bucketed = common.written(members.join(buckets, "key"), "buckets")
+    # Words of documents that meet others; only these rows travel on.
+    meeting = whole.join(bucketed.select("doc").distinct(), "doc").select("doc", "hash")
+    words = common.written(
+        made.select("doc", same.alias("hash"), "words").join(meeting, ["doc", "hash"], "left_semi").dropDuplicates(["doc"]),
+        "words",
+    )
 
     pairs = bucketed.where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct()
-    left = whole.select(F.col("doc").alias("a"), F.col("sketch").alias("sketch_a"), F.col("words").alias("words_a"))
-    right = whole.select(F.col("doc").alias("b"), F.col("sketch").alias("sketch_b"), F.col("words").alias("words_b"))
     likely = (
-        pairs.join(left.drop("words_a"), "a")
-        .join(right.drop("words_b"), "b")
+        pairs.join(whole.select(F.col("doc").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+        .join(whole.select(F.col("doc").alias("b"), F.col("sketch").alias("sketch_b")), "b")
         .where(_shared(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_SHARED)
         .select("a", "b")
     )
@@ -208,7 +210,9 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    with_words = likely.join(left.drop("sketch_a"), "a").join(right.drop("sketch_b"), "b")
+    with_words = likely.join(words.select(F.col("doc").alias("a"), F.col("words").alias("words_a")), "a").join(
+        words.select(F.col("doc").alias("b"), F.col("words").alias("words_b")), "b"
+    )
     stars = common.written(with_words.select("a", "b", "words_a", "words_b").mapInArrow(verify, "a long, b long"), "stars")
     first = components(stars)
 
@@ -236,7 +240,8 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
             F.greatest("block", "other").alias("high"),
             "block",
         )
-        .join(whole, "doc")
+        .join(whole.select("doc", "sketch"), "doc")
+        .join(words.select("doc", "words"), "doc")
     )
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,4 +309,5 @@ def keep_representatives(documents: DataFrame, threshold: float = 0.8) -> DataFr
     left = documents.join(dropped, documents["doc_id"] == dropped["doc_id"], "left_anti")
     own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     rows = Window.partitionBy("doc_id", own).orderBy(F.xxhash64("text"))
-    return left.withColumn("_row", F.row_number().over(rows)).where("_row = 1").drop("_row")
+    number = common.fresh("_row", documents)
+    return left.withColumn(number, F.row_number().over(rows)).where(F.col(number) == 1).drop(number)
