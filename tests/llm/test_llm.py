@@ -560,6 +560,42 @@ def test_near_vectors_equal_brute_force(spark, block):
     assert embedding_dedup.near_vectors(df.where("false")).count() == 0
 
 
+def shared_direction(mean, seed=4, dim=64, groups=60, hot=0):
+    """Unit vectors whose mean has about this norm; each has a neighbour at cosine 0.9815."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(groups + hot):
+        side = rng.normal(size=dim)
+        side[0] = 0
+        unit = np.zeros(dim)
+        unit[0] = 1
+        if g < groups:
+            unit = mean * unit + math.sqrt(1 - mean * mean) * side / np.linalg.norm(side)
+        else:
+            unit = -unit + 0.2 * side / np.linalg.norm(side)
+            unit /= np.linalg.norm(unit)
+        for _ in range(2):
+            rows.append(unit)
+            turn = rng.normal(size=dim)
+            turn -= (turn @ unit) * unit
+            unit = 0.9815 * unit + math.sqrt(1 - 0.9815**2) * turn / np.linalg.norm(turn)
+    return np.array(rows)
+
+
+@pytest.mark.parametrize("mean,hot", [(0.7, 0), (0.89, 0), (0.945, 0), (0.7, 60)])
+def test_near_vectors_of_a_shared_direction(spark, mean, hot):
+    unit = shared_direction(mean, hot=hot)
+    rows = [(i, u.tolist(), 0) for i, u in enumerate(unit)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    close = unit @ unit.T >= 0.98
+    np.fill_diagonal(close, False)
+    for block in (64, 1024):
+        got = embedding_dedup.near_vectors(df, block=block).collect()
+        found, want = sum(r.n_links for r in got), int(close.sum())
+        assert want >= 120 and 0.99 * want <= found <= want
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate(close.sum(axis=1).tolist()))
+
+
 def test_rotation_balances_bits():
     rng = np.random.default_rng(1)
     sample = rng.normal(size=(2000, 16)) * np.linspace(3, 0.5, 16)
