@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, in stages.
 
 Each stage works on what its predecessor kept, with the columns of ``documents``. Rows
-without id are scored and decontaminated but not compared; null texts count as empty.
+that repeat an id or have none are documents of their own; null texts count as empty.
 """
 
 from __future__ import annotations

@@ -244,10 +244,9 @@ def contamination_report(documents: DataFrame, items: DataFrame, length: int = 1
 
 
 def drop_contaminated(documents: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
-    """``documents`` without those that hold a window of an item.
-
-    Rows of one id go together if one is hit, and so do the rows without id.
-    """
-    heads, matches = find_contamination(documents, items, length)
-    hit = heads.join(matches.select("row").distinct(), "row", "left_semi").select("doc_id").distinct()
-    return documents.join(hit, documents["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
+    """``documents`` without the rows that hold a window of an item."""
+    key = common.fresh("_key", documents)
+    own = common.own_ids(documents, key)
+    heads, matches = find_contamination(own.select(F.col(key).alias("doc_id"), "text"), items, length)
+    hit = heads.join(matches.select("row").distinct(), "row", "left_semi").select(F.col("doc_id").alias(key))
+    return own.join(hit, key, "left_anti").select(*(F.col(f"`{c}`") for c in documents.columns))

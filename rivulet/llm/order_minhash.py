@@ -30,7 +30,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm import common
@@ -304,10 +304,13 @@ def _cross_links(rows: list[dict], number: int, same_block: bool, threshold: flo
 
 
 def keep_representatives(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """One row of each class of ``documents``, with all columns; rows without id stay."""
-    dropped = near_duplicates(documents, threshold).where(~F.col("kept")).select("doc_id")
-    left = documents.join(dropped, documents["doc_id"] == dropped["doc_id"], "left_anti")
-    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    rows = Window.partitionBy("doc_id", own).orderBy(F.xxhash64("text"))
-    number = common.fresh("_row", documents)
-    return left.withColumn(number, F.row_number().over(rows)).where(F.col(number) == 1).drop(number)
+    """One row of each class of ``documents``, with all columns.
+
+    Each row is compared as a document of its own, also those that repeat an id or have
+    none. The row of least id stays, of rows without id only where no other is in the class.
+    """
+    key = common.fresh("_key", documents)
+    own = common.own_ids(documents, key)
+    classes = near_duplicates(own.select(F.col(key).alias("doc_id"), "text"), threshold)
+    dropped = classes.where(~F.col("kept")).select(F.col("doc_id").alias(key))
+    return own.join(dropped, key, "left_anti").select(*(F.col(f"`{c}`") for c in documents.columns))

@@ -339,9 +339,12 @@ def remove_repeats(documents: DataFrame, batches: int = 2) -> DataFrame:
     """``documents`` with the repeats cut out of ``text`` in whole characters.
 
     ``n_chars``, where there is such a column, follows the text. Documents of which nothing
-    is left go; null and empty texts stay as they are.
+    is left go; null and empty texts stay as they are. Each row is a document of its own:
+    first those of each id in order of ids, then those that repeat an id or have none.
     """
-    spans = repeated_spans(documents, batches)
+    key = common.fresh("_id", documents)
+    keyed = common.own_ids(documents, key)
+    spans = repeated_spans(keyed.select(F.col(key).alias("doc_id"), "text"), batches)
     schema, text = documents.schema, documents.columns.index("text")
     length = documents.columns.index("n_chars") if "n_chars" in documents.columns else None
 
@@ -368,6 +371,5 @@ def remove_repeats(documents: DataFrame, batches: int = 2) -> DataFrame:
             left = pa.RecordBatch.from_arrays(columns, schema.names)
             yield left.filter(pa.array([not g for g in gone], pa.bool_()))
 
-    key = common.fresh("_id", documents)
     own = spans.select(F.col("doc_id").alias(key), F.col("spans").alias(common.fresh("_spans", documents)))
-    return documents.join(own, documents["doc_id"] == own[key], "left").drop(key).mapInArrow(cut, schema)
+    return keyed.join(own, key, "left").drop(key).mapInArrow(cut, schema)

@@ -96,6 +96,43 @@ def test_run_applies_all_stages(spark, folder):
     assert np.isin(list(kept), [*range(60), *range(100, 160), 500, 501]).all()
 
 
+@pytest.mark.parametrize("read", [True, False])
+@pytest.mark.parametrize("shift", [0, 1 << 62])
+def test_stages_treat_each_row_by_itself(spark, tmp_path, read, shift):
+    item = " ".join(base_text(900, 20))
+    clean = [" ".join(base_text(i, 60)) for i in range(8)]
+    rows = [
+        (shift + 1, clean[0]),
+        (shift + 1, clean[1]),
+        (shift + 2, clean[2] + " " + item),
+        (shift + 2, clean[3]),
+        (None, clean[4]),
+        (None, clean[5] + " " + item),
+        (None, clean[6]),
+        (None, clean[0]),
+        (None, clean[7]),
+        (None, clean[7]),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    if read:
+        docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+        docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+    def after(stage):
+        result = stage(spark, docs, str(tmp_path))
+        assert result.columns == docs.columns
+        return sorted((r.doc_id or 0, r.text) for r in result.collect())
+
+    every = sorted((i or 0, t) for i, t in rows)
+    assert after(corpus_pipeline.benchmark_decontamination) == [r for r in every if item not in r[1]]
+    once = sorted({(i or 0, t) for i, t in rows} - {(0, clean[0])})
+    assert after(corpus_pipeline.near_duplicates) == once
+    cut = after(corpus_pipeline.repeats)
+    assert len(cut) == len(once) and [t for _, t in cut].count(clean[0]) == 1
+    assert (shift + 1, clean[0]) in cut
+
+
 def test_registered():
     import __spark_entry__ as entry_point
 
