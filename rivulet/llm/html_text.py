@@ -7,8 +7,9 @@ node's exact marginal; text directly in nodes of marginal one half or more is ke
 are those of greatest conditional likelihood on labelled pages, found with the same
 messages; the labelled pages are built here from page plans whose parts are known.
 
-Inline elements belong to the block around them. Scripts, styles, comments, the head and
-the insides of form controls are no text. Character references are decoded, white space
+Inline elements belong to the block around them. Scripts, styles, comments, titles and
+the insides of form controls are no text; other text in an open head ends the head, as in
+browsers, and is text of the page. Character references are decoded, white space
 within a block is one space, and blocks are joined in page order by two line feeds. Null,
 empty and text-free pages give an empty text; repeated rows get a row each.
 """
@@ -32,7 +33,8 @@ from rivulet.llm import common
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|object)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?:svg|object)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|object)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-zA-Z!?/][^>]*>",
     re.S | re.I,
@@ -77,7 +79,7 @@ def parse(source: str) -> Page:
     stack: list[int] = []
     run: list[str] = []
     names = page.tag
-    in_link = in_head = False
+    in_link = False
 
     def open_node(tag: str, attrs: str) -> None:
         page.parent.append(stack[-1] if stack else -1)
@@ -114,7 +116,7 @@ def parse(source: str) -> Page:
 
     at = 0
     for match in _TOKEN.finditer(source):
-        if match.start() > at and not in_head:
+        if match.start() > at:
             piece = source[at : match.start()]
             run.append(piece)
             if in_link and stack:
@@ -124,10 +126,6 @@ def parse(source: str) -> Page:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag == "head":
-            in_head = not match["end"]
-        elif tag == "body":
-            in_head = False
         if tag == "a":
             in_link = not match["end"]
         elif tag in ("br", "hr", "img", "input", "button", "option", "label"):
@@ -147,7 +145,7 @@ def parse(source: str) -> Page:
                 close(*_ENDS[tag])
             if tag not in ("html", "body") or not any(names[n] == _BLOCK[tag] for n in stack):
                 open_node(tag, match["attrs"])
-    if at < len(source) and not in_head:
+    if at < len(source):
         run.append(source[at:])
     flush()
     return page

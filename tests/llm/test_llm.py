@@ -225,6 +225,25 @@ def test_main_text_of_pages(spark):
     assert html_text.extract_text(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<html><head><title>t</title>",
+        "<html><head><meta charset='utf-8'><title>t</title>",
+        "<html><head><title>t</title></head><body><svg class='a>b' viewBox='0 0 1 1' />",
+        "<html><body><object data='x'/><svg/>",
+        "<html><body><object-card>",
+        "<html><body><title-bar></title-bar>",
+    ],
+)
+def test_no_text_is_lost_to_open_heads_and_empty_elements(before):
+    inside = "".join(f"<p>Sentence {i} of the article, long enough to count as prose.</p>" for i in range(6))
+    page = html_text.parse(f"{before}<article>{inside}</article>")
+    assert [t for _, t in page.texts] == [f"Sentence {i} of the article, long enough to count as prose." for i in range(6)]
+    text = html_text.main_texts([f"{before}<article>{inside}</article>"], html_text.trained_model())[0]
+    assert all(f"Sentence {i} of" in text for i in range(6))
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(4)
     parent, depth = np.array([-1, 0, 0, 1, 1]), np.array([0, 1, 1, 2, 2])
