@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 from rivulet.llm import (
     common,
+    conversation_repair,
     decontamination,
     embedding_dedup,
     html_text,
     lm_scores,
+    mixing,
     order_minhash,
     packing,
     quality,
     suffix_index,
     token_counts,
     toxicity,
+    vector_codes,
 )
 from rivulet.llm.oracles import ORACLES as ORACLES
 
@@ -69,6 +72,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents, machine)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(common.table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_conversations(rows)
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(common.table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(common.table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_token_counts": op2_token_counts,
@@ -80,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scores": op8_lm_scores,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_quality": op10_quality,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_source_mix": op12_source_mix,
+    "op13_vector_codes": op13_vector_codes,
 }
