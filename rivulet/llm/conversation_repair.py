@@ -101,10 +101,12 @@ def faults(rows: DataFrame) -> DataFrame:
         F.when(~F.col("text").rlike(visible), BLANK).when(last.isin(".", "!", "?"), SOUND).otherwise(TRUNCATED)
     )
     rows = rows.withColumn("key", key).withColumn("fault", fault)
-    first = rows.where(F.col("key").isNotNull()).groupBy(F.col("key").alias("first_key"))
-    first = first.agg(F.min(F.struct("turn")).alias("first"))
-    joined = rows.join(first, F.col("key") == F.col("first_key"), "left")
-    return joined.withColumn("again", ~F.col("turn").eqNullSafe(F.col("first.turn"))).drop("first_key", "first")
+    here = rows.where(F.col("key").isNotNull())
+    first = here.groupBy(F.col("key").alias("first_key")).agg(F.min(F.struct("turn")).alias("first"))
+    joined = here.join(first, F.col("key") == F.col("first_key"))
+    joined = joined.withColumn("again", ~F.col("turn").eqNullSafe(F.col("first.turn"))).drop("first_key", "first")
+    # Dropped rows have no key; joined by it they would meet in one task.
+    return joined.unionByName(rows.where(F.col("key").isNull()).withColumn("again", F.lit(False)))
 
 
 def estimates(roles: list[str], flaws: bytes, closed: bool) -> tuple[list[int], list[str]]:
