@@ -40,6 +40,7 @@ _KEYS = ("sensorid", "parameter")
 _COMMIT = "kind STRING, piece STRING, number BIGINT, as_of DATE"
 # A merge folds this many deltas at least.
 MERGE_DELTAS = 16
+SNAPSHOT_DAYS = 7
 
 
 def create_attribute_tables(spark: SparkSession, database: str) -> None:
@@ -81,6 +82,25 @@ def _number(piece: str) -> int:
     return int(piece.split("-")[1])
 
 
+def rebuild_latest(spark: SparkSession, database: str) -> None:
+    """A base from an archive that was filled without the log; batches are numbered after its versions."""
+    rows = stored(spark, f"{database}.{PARAMETERS}").select(*_NAMES)
+    highest = rows.agg(F.max(VERSION)).first()[0]
+    if highest is not None:
+        piece = f"base-{highest:019d}-{uuid.uuid4().hex}"
+        _insert(_newest(rows), f"{database}.{LATEST}", f"piece = '{piece}'")
+        _commit(spark, database, "base", piece, highest)
+
+
+def _pieces(spark: SparkSession, database: str) -> list[str]:
+    """Pieces of the log; where there are none yet, the archive may hold rows of before."""
+    pieces = _partitions(spark, f"{database}.{LATEST}", "piece")
+    if not pieces:
+        rebuild_latest(spark, database)
+        pieces = _partitions(spark, f"{database}.{LATEST}", "piece")
+    return pieces
+
+
 def _batch_piece(pieces: Sequence[str], query: str, batch: int) -> str:
     """The delta of a batch: the one it has written before, or the next."""
     end = f"-{query}-{batch}"
@@ -101,7 +121,7 @@ def record_updates(
         raise ValueError("a query name has letters, digits and underscores only")
     spark = updates.sparkSession
     latest = f"{database}.{LATEST}"
-    piece = _batch_piece(_partitions(spark, latest, "piece"), query, batch)
+    piece = _batch_piece(_pieces(spark, database), query, batch)
     number = _number(piece)
     if not order_by:
         updates, order_by = updates.withColumn("__arrival", F.monotonically_increasing_id()), ["__arrival"]
@@ -139,8 +159,9 @@ def _snapshots(spark: SparkSession, database: str) -> dict[date, str]:
 def latest_values(spark: SparkSession, database: str) -> DataFrame:
     """The latest value of every sensor and attribute, from the last base and the deltas after it."""
     table = f"{database}.{LATEST}"
+    pieces = _pieces(spark, database)
     number, base = _base(spark, database)
-    pieces = [p for p in _partitions(spark, table, "piece") if p == base or (p.startswith("delta-") and _number(p) > number)]
+    pieces = [p for p in pieces if p == base or (p.startswith("delta-") and _number(p) > number)]
     return _newest(spark.table(table).where(F.col("piece").isin(pieces)))
 
 
@@ -179,6 +200,16 @@ def make_snapshot(spark: SparkSession, database: str, day: date) -> None:
     _commit(spark, database, "snapshot", piece, commits.count() + 1, day)
 
 
+def snapshot_if_due(spark: SparkSession, database: str, updates: DataFrame, every_days: int = SNAPSHOT_DAYS) -> None:
+    """A snapshot for the newest day of a batch, if the last is old enough. Days to come get none."""
+    newest = updates.agg(F.max(F.to_date("timestamp"))).first()[0]
+    if newest is None or newest > date.today():
+        return
+    last = max(_snapshots(spark, database), default=None)
+    if last is None or (newest - last).days >= every_days:
+        make_snapshot(spark, database, newest)
+
+
 def _spans(days: Sequence[date], snapshots: Sequence[date]) -> tuple[list[tuple[date | None, date]], list[date]]:
     """Days of the archive that readings of ``days`` need, as spans, and the snapshots they start from."""
     spans: list[tuple[date | None, date]] = []

@@ -16,15 +16,17 @@ from pyspark.sql.streaming import StreamingQuery
 from rivulet.operators import archive, decode, encode
 from rivulet.operators.enrich import fake_enrich
 from rivulet.session import checkpoint_root, use_utc
-from rivulet.sources import tables
+from rivulet.sources import attributes, tables
 from rivulet.sources.topics import Topic, read_topic, write_topic
-from rivulet.streaming.enrich import enrich_batch, enrich_stream
+from rivulet.streaming.enrich import finish_batch, lookup_stream
 from rivulet.streaming.forecast import forecast_alerts_stream
 from rivulet.streaming.neighbors import neighbor_alerts_stream
 from rivulet.streaming.time import DISORDER, LATENESS, with_event_time
 
 # Fixed value: the interval between checkpoints, in milliseconds.
 CHECKPOINT_INTERVAL_MS = 600_000
+# Days of versions that the enrichment job holds of each attribute.
+KEEP_BUCKETS = 7
 
 
 def _folder(spark: SparkSession, checkpoint: str | None, job: str) -> str:
@@ -67,22 +69,25 @@ def run_enrichment(
     from_archive: bool = False,
     cold_start: bool = False,
     wait_for_watermark: bool = False,
+    keep_buckets: int = KEEP_BUCKETS,
     rejects: Topic | None = None,
     available_now: bool = False,
     interval: str | None = None,
 ) -> list[StreamingQuery]:
     """Raw packets and attribute updates in, enriched readings and archived updates out.
 
-    ``from_archive`` looks attributes up in the parameters table, into which each
-    batch's updates go first, instead of keeping them as state. ``cold_start`` fills the state with all its versions.
-    ``rejects`` receives packets and entries that were not understood; the
-    progress of the query counts them as the metric ``packets``.
+    A micro-batch stores its updates first: in the parameters table, the log of latest
+    values and, every few days, snapshots. Attributes are kept as state, of each the newest
+    ``keep_buckets`` days of versions; older readings are looked up in the archive.
+    ``cold_start`` fills the state with the latest values, and ``from_archive`` keeps no
+    state but looks everything up. ``rejects`` receives packets and entries that were not
+    understood; the progress of the query counts them as the metric ``packets``.
     """
     use_utc(spark)
     folder = _folder(spark, checkpoint, "enrichment")
     if initialize:
         tables.create_tables(spark, database, tables=["parameters"])
-    parameters = f"{database}.parameters"
+    attributes.create_attribute_tables(spark, database)
     packets = read_topic(spark, raw, latest)
     readings = decode.parse_packets(packets, observe="packets")
     changes = decode.decode_update(read_topic(spark, updates, latest))
@@ -90,31 +95,39 @@ def run_enrichment(
         both = readings.select("sensorid", "timestamp", "rawValue").unionByName(
             changes.select("sensorid", "timestamp", "parameter", "value"), allowMissingColumns=True
         )
-
-        def store_and_enrich(batch: DataFrame, batch_id: int) -> None:
-            # The batch's updates first, so that its readings see them.
-            batch = batch.persist()
-            try:
-                news = batch.where("parameter is not null").drop("rawValue")
-                tables.upsert_last_wins(news, parameters)
-                came = batch.where("parameter is null").drop("parameter", "value")
-                enriched = enrich_batch(came, tables.stored(batch.sparkSession, parameters))
-                _send(encode.encode_reading(enriched), rich, batch_id)
-            finally:
-                batch.unpersist()
-
-        queries = [_each_batch(both, store_and_enrich, f"{folder}/rich", available_now, interval)]
     else:
-        queries = [_archive(changes, parameters, f"{folder}/parameters", available_now, interval, upsert=True)]
-        initial = None
-        if cold_start:
-            initial = tables.current_rows(spark, parameters)
+        initial = attributes.latest_values(spark, database) if cold_start else None
         if wait_for_watermark:
             readings, changes = with_event_time(readings), with_event_time(changes)
-        enriched = enrich_stream(readings, changes, initial, wait_for_watermark)
-        messages = encode.encode_reading(enriched)
-        queries.append(write_topic(messages, rich, f"{folder}/rich", available_now, interval))
+        both = lookup_stream(
+            readings,
+            changes,
+            initial,
+            wait_for_watermark,
+            keep_buckets=keep_buckets,
+            initial_is_complete=False,
+            pass_updates_on=True,
+        )
 
+    def store_and_enrich(batch: DataFrame, batch_id: int) -> None:
+        # The batch's updates first, so that its readings see them.
+        batch = batch.persist()
+        try:
+            session = batch.sparkSession
+            news = batch.where("parameter is not null").select("sensorid", "timestamp", "parameter", "value")
+            attributes.record_updates(news, database, "enrichment", batch_id)
+            attributes.merge_latest(session, database)
+            attributes.snapshot_if_due(session, database, news)
+            if from_archive:
+                came = batch.where("parameter is null").drop("parameter", "value")
+                enriched = attributes.enrich_from_archive(came, database)
+            else:
+                enriched = finish_batch(batch, database)
+            _send(encode.encode_reading(enriched), rich, batch_id)
+        finally:
+            batch.unpersist()
+
+    queries = [_each_batch(both, store_and_enrich, f"{folder}/rich", available_now, interval)]
     if rejects is not None:
         refused = decode.parse_rejects(packets).selectExpr("reason as key", "value")
         queries.append(write_topic(refused, rejects, f"{folder}/rejects", available_now, interval))

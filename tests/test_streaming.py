@@ -3,8 +3,12 @@
 from conftest import at
 from pyspark.sql import functions as F
 
+import numpy as np
+import pytest
+
 from rivulet.operators import enrich, forecast, neighbors
-from rivulet.streaming.enrich import enrich_batch, enrich_stream
+from rivulet.sources import attributes
+from rivulet.streaming.enrich import Versions, enrich_batch, enrich_stream, finish_batch, lookup_stream
 from rivulet.streaming.forecast import forecast_stream
 from rivulet.streaming.neighbors import neighbor_mean_stream
 from rivulet.streaming.time import with_event_time
@@ -161,6 +165,95 @@ def test_enrich_batch_against_archive(spark, rows):
     assert rows(enrich_batch(readings, updates), *COLUMNS) == rows(expected, *COLUMNS)
 
 
+class CountedMap(dict):
+    """A map state in memory that counts what is read."""
+
+    reads = 0
+
+    def containsKey(self, key):
+        return key in self
+
+    def getValue(self, key):
+        self.reads += 1
+        return self[key]
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+
+def test_lookups_read_two_buckets_of_a_long_history():
+    buckets, index = CountedMap(), CountedMap()
+    versions = Versions(buckets, index, 100, None)
+    versions.add("type", [(t, f"v{t}") for t in range(0, 100_000, 10)])
+    buckets.reads = 0
+    texts, beyond, known = versions.before("type", np.array([50_000, 50_055]))
+    assert texts.tolist() == ["v49990", "v50050"] and not beyond.any() and known
+    assert buckets.reads == 2 and len(buckets) == 1000
+    # An update reads and writes its own bucket only.
+    versions.add("type", [(70_001, "new")])
+    assert buckets.reads == 3 and index.reads == 2
+    assert versions.before("type", np.array([70_002, 0, 1]))[0].tolist() == ["new", None, "v0"]
+
+
+def test_bounded_versions_tell_what_lies_beyond():
+    versions = Versions(CountedMap(), CountedMap(), 100, 3)
+    for t in range(0, 1000, 50):
+        versions.add("type", [(t, f"v{t}")])
+    assert len(versions.buckets) == 3
+    texts, beyond, known = versions.before("type", np.array([10, 700, 701, 1000]))
+    assert texts.tolist() == [None, None, "v700", "v950"] and beyond.tolist() == [True, True, False, False] and known
+    versions.add("type", [(650, "late")])  # older than what is held: the archive has it
+    assert versions.before("type", np.array([701, 660]))[1].tolist() == [False, True]
+    assert versions.before("unit", np.array([5]))[1:] == (np.array([False]), False)
+
+
+@pytest.mark.parametrize("cold", [False, True])
+def test_bounded_stream_with_archive_equals_batch(spark, rows, tmp_path, cold):
+    """Readings of any age, over state of two days and the archive."""
+    database, day = f"bounded_{cold}".lower(), 86400
+    attributes.create_attribute_tables(spark, database)
+    try:
+        before = [("a", at(-5 * day), "type", "old"), ("a", at(-2 * day), "type", "older"), ("b", at(-3 * day), "unit", "m")]
+        news = [("a", at(d * day + 60), p, f"{p}{d}") for d in range(10) for p in ("type", "unit")]
+        news.insert(15, ("a", at(day + 500), "type", "late"))
+        late = [("a", at(d * day + s), float(d)) for d in (9, 1, 0, 4, -1, 7) for s in (0, 600)] + [("b", at(5), 1.0)]
+        u = write(spark, news, UPDATE, tmp_path / "u", files=3)
+        r = write(spark, [("z", at(0), 0.0)] * 3, READING, tmp_path / "r", files=3)
+        write(spark, late, READING, tmp_path / "r", files=2)
+        initial = None
+        if cold:
+            attributes.record_updates(spark.createDataFrame(before, UPDATE), database, "before", 0)
+            initial = attributes.latest_values(spark, database)
+        every = spark.createDataFrame(news + (before if cold else []), UPDATE)
+        expected = enrich.enrich_asof(spark.read.parquet(r), every).where("sensorid <> 'z'")
+        out, marked = [], []
+
+        def finish(batch, number):
+            batch = batch.persist()
+            updates = batch.where("parameter is not null").select("sensorid", "timestamp", "parameter", "value")
+            attributes.record_updates(updates, database, "stream", number)
+            marked.append(batch.where("beyond").count())
+            out.extend(rows(finish_batch(batch, database).where("sensorid <> 'z'"), *COLUMNS))
+            batch.unpersist()
+
+        looked_up = lookup_stream(
+            stream(spark, r, READING), stream(spark, u, UPDATE), initial,
+            keep_buckets=2, initial_is_complete=False, pass_updates_on=True,
+        )
+        query = looked_up.writeStream.foreachBatch(finish).option("checkpointLocation", str(tmp_path / "cp"))
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination(240)
+        assert query.exception() is None
+        assert sum(marked) >= 5
+        key = lambda r: [repr(v) for v in r.values()]
+        assert unknown(sorted(out, key=key)) == unknown(rows(expected, *COLUMNS))
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 CELLS = "sensorid string, timestamp timestamp, gridCell bigint, conValue double"
 
 
