@@ -21,7 +21,7 @@ JOBS = {
     ),
     "storage": (jobs.run_storage, ("rich", "updates", "alarms"), ("latest", "fresh")),
     "neighbor": (jobs.run_neighbor, ("rich", "alarms"), ("latest",)),
-    "forecast": (jobs.run_forecast, ("rich", "alarms"), ("latest",)),
+    "forecast": (jobs.run_forecast, ("rich", "alarms"), ("latest", "refire")),
     "passthrough": (jobs.run_passthrough, ("raw", "rich"), ("seed", "fresh")),
 }
 WITH_DATABASE = ("enrichment", "storage", "passthrough")

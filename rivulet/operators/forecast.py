@@ -136,33 +136,6 @@ def window_moments(
     return flagged.groupBy(key, "end").agg(*map(F.expr, aggregates))
 
 
-def array_moments(values: Column) -> list[Column]:
-    """Moments of one window given as a time-ordered array, for streams."""
-    rows = F.size(values)
-
-    def at(position: Column) -> Column:
-        return F.get(values, position.cast("int"))
-
-    def total(lag: int) -> Column:
-        # Zero-based positions that have all their predecessors, without the newest.
-        positions = F.when(rows > lag + 2, F.sequence(F.lit(lag + 1), rows - 2))
-        return F.coalesce(
-            F.aggregate(
-                positions,
-                F.lit(0.0),
-                lambda acc, i: acc + _lag_products(at(i), at(i - 1), at(i - 2), at(i - 3))[lag],
-            ),
-            F.lit(0.0),
-        )
-
-    return [
-        rows.cast("bigint").alias("rows"),
-        *(at(F.lit(i)).alias(n) for i, n in enumerate(_FIRST)),
-        *(F.when(rows > i, at(rows - 1 - i)).alias(n) for i, n in enumerate(_LAST)),
-        *(total(lag).alias(n) for lag, n in enumerate(_SUMS)),
-    ]
-
-
 def _barrier(row: Column) -> Column:
     """The fields of a struct as columns, through a generator.
 

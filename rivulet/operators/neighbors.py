@@ -15,6 +15,8 @@ from rivulet.schemas import UNCONVERTED, UNKNOWN_CELL
 # sum of a billion values below the bound.
 EXACT = "decimal(38,10)"
 BOUND = 1e18
+# A value below the bound. Differences of wider decimals would lose their last digit.
+VALUE = "decimal(28,10)"
 _BUCKET, _CARRY = "__bucket", "__carry"
 
 
@@ -89,7 +91,7 @@ def neighbor_mean(
     rows = every.where(fits())
     order = [F.col("timestamp"), *([F.col(tie)] if tie else []), F.col("sensorid")]
 
-    rows = rows.withColumn("__value", F.col("conValue").cast(EXACT))
+    rows = rows.withColumn("__value", F.col("conValue").cast(VALUE))
     rows = _with_previous(rows, order, bucket_seconds)
 
     prev = F.col("__prev")

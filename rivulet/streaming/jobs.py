@@ -207,14 +207,18 @@ def run_forecast(
     size: str = "2 hours",
     slide: str = "5 minutes",
     lateness: str = LATENESS,
+    refire: bool = False,
     available_now: bool = False,
     interval: str | None = None,
 ) -> list[StreamingQuery]:
-    """Alarms for readings outside the forecast interval of their window."""
+    """Alarms for readings outside the forecast interval of their window.
+
+    With ``refire`` windows are evaluated early and again for every late reading.
+    """
     use_utc(spark)
     folder = _folder(spark, checkpoint, "forecast")
     readings = decode.decode_reading(read_topic(spark, rich, latest))
-    alerts = forecast_alerts_stream(readings, size=size, slide=slide, lateness=lateness)
+    alerts = forecast_alerts_stream(readings, refire, size=size, slide=slide, lateness=lateness)
     return [write_topic(encode.encode_alert(alerts), alarms, f"{folder}/alarms", available_now, interval)]
 
 

@@ -1,7 +1,13 @@
 """Neighbourhood alerts on a stream.
 
-The first step keeps the last cell and value of every sensor and turns readings
-into changes of cell sums. The second keeps sum and count of every cell.
+The first step keeps the last cell and value of every sensor and turns readings into
+changes of cell sums. What follows is a running sum over the changes of a cell, in two
+levels: changes of a cell and a stretch of time are sorted and summed in tasks of their own
+and packed into blocks; the state of the cell gives every block, in order of time, the sum
+before it; and the blocks are unpacked again wherever there is room. So a cell with very
+many readings in a micro-batch passes one task only as a few rows.
+
+Values are summed exactly, as whole numbers and ten digits after the point.
 """
 
 from __future__ import annotations
@@ -11,16 +17,25 @@ from decimal import Decimal
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from rivulet.operators.neighbors import EXACT, comparable_readings, deviation_alerts, fits
+from rivulet.operators.neighbors import VALUE, comparable_readings, deviation_alerts, fits
+
+# Parts of a value: one whole number, and this many parts of one.
+PARTS = 10**10
+# Readings in a block at most, and the stretch of time that one task sums.
+BLOCK_ROWS = 4096
+STRETCH_SECONDS = 60
 
 _CHANGE = (
     "timestamp timestamp, cell bigint, sensorid string, conValue double, "
-    "delta decimal(38,10), step bigint, probe boolean"
+    "whole bigint, part bigint, step bigint, probe boolean"
 )
+_BLOCK = "cell bigint, stretch bigint, number bigint, whole bigint, part bigint, step bigint, rows binary"
+_CARRIED = "cell bigint, whole string, part bigint, step bigint, rows binary"
 _MEAN = "timestamp timestamp, sensorid string, gridCell bigint, conValue double, cellMean double"
 
 
@@ -28,74 +43,155 @@ class SensorChange(StatefulProcessor):
     """Last cell and value of one sensor."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "time timestamp, cell bigint, value decimal(38,10)")
+        self.last = handle.getValueState("last", "time timestamp, cell bigint, whole bigint, part bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.sort_values("timestamp", kind="stable", ignore_index=True)
-        time, cell, value = tuple(self.last.get()) if self.last.exists() else (None, None, None)
+        time, cell, whole, part = tuple(self.last.get()) if self.last.exists() else (None, None, 0, 0)
         out = batch.rename(columns={"gridCell": "cell"}).assign(sensorid=key[0], probe=True)
         # Older than what the cell already knows: compared, but not stored.
         late = out["timestamp"] < pd.Timestamp(time) if time is not None else pd.Series(False, out.index)
-        old, new = out[late].assign(delta=Decimal(0), step=0), out[~late]
+        old, new = out[late].assign(whole=0, part=0, step=0), out[~late]
         parts = [old]
         if not new.empty:
             # Plain integer arrays: cell ids do not fit into floats.
-            cells, exact = new["cell"].to_numpy("int64"), new["exact"].to_numpy(object)
+            cells = new["cell"].to_numpy("int64")
             had = np.arange(len(new)) > (-1 if cell is not None else 0)
             cells_before = np.concatenate([[cell if cell is not None else 0], cells[:-1]]).astype("int64")
-            exact_before = np.concatenate([[value if value is not None else Decimal(0)], exact[:-1]])
             stays = had & (cells_before == cells)
             moved = had & ~stays
-            delta = np.where(stays, exact - exact_before, exact)
-            parts.append(new.assign(delta=delta, step=(~stays).astype("int64")))
-            parts.append(
-                new[moved].assign(
-                    cell=cells_before[moved], delta=-exact_before[moved], step=-1, probe=False
-                )
-            )
+            here, gone = {"step": (~stays).astype("int64")}, {"step": -1}
+            for name, first in (("whole", whole), ("part", part)):
+                now = new[name].to_numpy("int64")
+                before = np.concatenate([[first], now[:-1]]).astype("int64")
+                here[name] = np.where(stays, now - before, now)
+                gone[name] = -before[moved]
+            parts.append(new.assign(**here))
+            parts.append(new[moved].assign(cell=cells_before[moved], probe=False, **gone))
             last = new.iloc[-1]
-            self.last.update((last["timestamp"].to_pydatetime(), int(last["cell"]), last["exact"]))
+            self.last.update(
+                (last["timestamp"].to_pydatetime(), int(last["cell"]), int(last["whole"]), int(last["part"]))
+            )
         changes = pd.concat([p for p in parts if not p.empty], ignore_index=True)
-        yield changes[["timestamp", "cell", "sensorid", "conValue", "delta", "step", "probe"]]
+        yield changes[["timestamp", "cell", "sensorid", "conValue", "whole", "part", "step", "probe"]]
+
+
+def pack_blocks(changes: pd.DataFrame, block_rows: int) -> pd.DataFrame:
+    """Changes of one cell and stretch of time, in order, as blocks with their own running sums."""
+    changes = changes.sort_values(["timestamp", "sensorid"], kind="stable", ignore_index=True)
+    # Running sums of a block stay within 64 bits.
+    largest = int(changes["whole"].abs().max())
+    size = max(1, min(block_rows, (1 << 62) // max(1, largest)))
+    out = []
+    for start in range(0, len(changes), size):
+        own = changes.iloc[start : start + size]
+        sums = {name: own[name].to_numpy("int64").cumsum() for name in ("whole", "part", "step")}
+        probe = own["probe"].to_numpy(bool)
+        rows = pa.record_batch(
+            [
+                pa.array(own["timestamp"].to_numpy("datetime64[us]").astype("int64")[probe]),
+                pa.array(own["sensorid"].to_numpy(object)[probe], pa.string()),
+                pa.array(own["conValue"].to_numpy("float64")[probe]),
+                *(pa.array(total[probe]) for total in sums.values()),
+            ],
+            ["time", "sensorid", "value", *sums],
+        )
+        out.append(
+            {
+                "cell": changes["cell"].iloc[0],
+                "stretch": changes["stretch"].iloc[0],
+                "number": start,
+                **{name: total[-1] for name, total in sums.items()},
+                "rows": _packed(rows),
+            }
+        )
+    return pd.DataFrame(out)
+
+
+def _packed(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write_batch(rows)
+    return sink.getvalue().to_pybytes()
 
 
 class CellSum(StatefulProcessor):
-    """Sum and number of the latest values in one cell."""
+    """Sum and number of the latest values in one cell; blocks come out with those before them."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("sum", "total decimal(38,10), sensors bigint")
+        self.state = handle.getValueState("sum", "whole decimal(38,0), part bigint, sensors bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["timestamp", "sensorid"], kind="stable", ignore_index=True)
-        total, sensors = tuple(self.state.get()) if self.state.exists() else (Decimal(0), 0)
-        totals = batch["delta"].cumsum() + total
-        counts = batch["step"].cumsum() + sensors
-        self.state.update((totals.iloc[-1], int(counts.iloc[-1])))
-        means = totals.astype("float64") / counts.where(counts > 0)
-        out = batch.assign(cellMean=means, gridCell=key[0])[batch["probe"]]
-        yield out[["timestamp", "sensorid", "gridCell", "conValue", "cellMean"]]
+        blocks = pd.concat(list(rows), ignore_index=True).sort_values(["stretch", "number"], ignore_index=True)
+        whole, part, sensors = tuple(self.state.get()) if self.state.exists() else (0, 0, 0)
+        whole, out = int(whole), {"whole": [], "part": [], "step": []}
+        for more, more_part, step in zip(blocks["whole"], blocks["part"], blocks["step"], strict=True):
+            for name, value in (("whole", str(whole)), ("part", part), ("step", sensors)):
+                out[name].append(value)
+            carry, part = divmod(part + int(more_part), PARTS)
+            whole, sensors = whole + int(more) + carry, sensors + int(step)
+        self.state.update((Decimal(whole), part, sensors))
+        columns = {"cell": key[0], **out, "rows": blocks["rows"].to_numpy(object)}
+        yield pd.DataFrame(columns, dtype=object)
+
+
+def unpack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Readings of blocks with the mean of their cell."""
+    for batch in batches:
+        for block in batch.to_pylist():
+            rows = pa.ipc.open_stream(block["rows"]).read_next_batch()
+            if not rows.num_rows:
+                continue
+            before = int(block["whole"]) * PARTS + block["part"]
+            means = [
+                (before + whole * PARTS + part) / PARTS / count if count > 0 else None
+                for whole, part, count in zip(
+                    rows["whole"].to_pylist(),
+                    rows["part"].to_pylist(),
+                    (rows["step"].to_numpy() + block["step"]).tolist(),
+                    strict=True,
+                )
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows["time"].cast(pa.timestamp("us")).cast(pa.timestamp("us", "UTC")),
+                    rows["sensorid"],
+                    pa.array([block["cell"]] * rows.num_rows, pa.int64()),
+                    rows["value"],
+                    pa.array(means, pa.float64()),
+                ],
+                ["timestamp", "sensorid", "gridCell", "conValue", "cellMean"],
+            )
 
 
-def neighbor_mean_stream(readings: DataFrame, include_unconverted: bool = False) -> DataFrame:
+def neighbor_mean_stream(
+    readings: DataFrame,
+    include_unconverted: bool = False,
+    stretch_seconds: int = STRETCH_SECONDS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
     """Readings with the mean of their cell as of their arrival.
 
     Inside a micro-batch readings are taken in event-time order. Readings that
     come later than newer ones of their sensor are compared, but do not change
     what is known. None is dropped or held back, so no watermark is needed.
-    Values that cannot be summed exactly come out with a NULL mean.
+    Values that cannot be summed exactly come out with a NULL mean. A task sums
+    the readings of one cell in ``stretch_seconds``.
     """
     every = comparable_readings(readings, include_unconverted)
     odd = every.where(~fits()).select(
         "timestamp", "sensorid", "gridCell", "conValue", F.lit(None).cast("double").alias("cellMean")
     )
+    exact = F.col("conValue").cast(VALUE)
+    below = (exact - F.floor(exact)).cast("decimal(11,10)")
     rows = every.where(fits()).select(
         "sensorid",
         "timestamp",
         "gridCell",
         "conValue",
-        F.col("conValue").cast(EXACT).alias("exact"),
+        F.floor(exact).cast("bigint").alias("whole"),
+        (below * F.lit(PARTS)).cast("bigint").alias("part"),
     )
     changes = rows.groupBy("sensorid").transformWithStateInPandas(
         statefulProcessor=SensorChange(),
@@ -103,13 +199,20 @@ def neighbor_mean_stream(readings: DataFrame, include_unconverted: bool = False)
         outputMode="Append",
         timeMode="None",
     )
-    means = changes.groupBy("cell").transformWithStateInPandas(
+    stretch = F.floor(F.unix_seconds("timestamp") / stretch_seconds)
+    blocks = (
+        changes.withColumn("stretch", stretch)
+        .groupBy("cell", "stretch")
+        .applyInPandas(lambda frame: pack_blocks(frame, block_rows), _BLOCK)
+    )
+    carried = blocks.groupBy("cell").transformWithStateInPandas(
         statefulProcessor=CellSum(),
-        outputStructType=_MEAN,
+        outputStructType=_CARRIED,
         outputMode="Append",
         timeMode="None",
     )
-    return means.unionByName(odd)
+    partitions = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return carried.repartition(partitions).mapInArrow(unpack_blocks, _MEAN).unionByName(odd)
 
 
 def neighbor_alerts_stream(

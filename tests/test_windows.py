@@ -6,6 +6,7 @@ from conftest import START, at
 from pyspark.sql import functions as F
 
 from rivulet.operators import forecast, windows
+from rivulet.streaming import forecast as stream_forecast
 
 READINGS = "reading_id bigint, sensorid string, timestamp timestamp, conValue double"
 
@@ -129,11 +130,13 @@ def test_forecast_equals_naive(spark, size, slide):
         assert np.allclose(got[key], numbers, rtol=1e-6, atol=1e-6), key
 
 
-def test_array_moments_give_the_same_estimate(spark):
+def test_summaries_give_the_same_estimate(spark):
     rng = random.Random(6)
     series = [[rng.randrange(1000) / 8 for _ in range(n)] for n in (7, 8, 12, 40)]
-    df = spark.createDataFrame(list(enumerate(series)), "id bigint, v array<double>")
-    out = forecast.estimate(df.select("id", *forecast.array_moments(F.col("v")))).collect()
+    moments = [stream_forecast._moments(stream_forecast.stretch_of(np.arange(len(v)), np.array(v))) for v in series]
+    kinds = ", ".join(["id bigint", "rows bigint", *(f"{m} double" for m in forecast.MOMENTS[1:])])
+    df = spark.createDataFrame([(i, *m.values()) for i, m in enumerate(moments)], kinds)
+    out = forecast.estimate(df).collect()
     for row in out:
         numbers = (row["last"], row["forecast"], row["lower"], row["upper"])
         assert np.allclose(numbers, naive_forecast(series[row["id"]]))
