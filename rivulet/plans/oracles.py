@@ -411,6 +411,13 @@ with {_ALL_UPDATES}
 select sensorid, parameter, arg_max(value, timestamp) as value, max(timestamp) as timestamp
 from updates group by sensorid, parameter
 """,
+    "latest_parameters_maintained": f"""
+with {_ALL_UPDATES}
+select sensorid, parameter, arg_max(value, timestamp) as value, max(timestamp) as timestamp
+from updates group by sensorid, parameter
+""",
+    "enrich_archive_pruned": _ENRICH,
+    "enrich_stream_bounded": f"select * exclude (reading_id) from ({_ENRICH})",
     "param_versions": f"""
 with {_ALL_UPDATES}, ranked as (
   select *, row_number() over (partition by sensorid, parameter order by timestamp desc) as k from updates
@@ -445,6 +452,9 @@ select reading_id, sensorid, gridCell, timestamp, round(conValue, 8) as conValue
     "neighbor_mean_moving": _neighbor_mean("(user_id % 7 + event_id // 50) % 7") + """
 select reading_id, sensorid, gridCell, timestamp, round(conValue, 8) as conValue,
   round(cellMean, 8) as cellMean from means
+""",
+    "neighbor_mean_streamed": _MEANS + """
+select sensorid, gridCell, timestamp, round(conValue, 8) as conValue, round(cellMean, 8) as cellMean from means
 """,
     "neighbor_alerts": _neighbor_alerts(60),
     "neighbor_alerts_default": _neighbor_alerts(10),
@@ -477,6 +487,7 @@ from ranked where n > 1
 """,
     "arima_forecast": _forecast_rows(7200, 300),
     "arima_forecast_half_day": _forecast_rows(43200, 3600),
+    "arima_forecast_streamed": _forecast_rows(7200, 300),
     "arima_alerts": _forecasts(7200, 300) + """
 select window_start, sensorid, timestamp, round(last, 4) as value, round(lower, 4) as lower,
   round(upper, 4) as upper

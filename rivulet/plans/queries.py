@@ -11,6 +11,7 @@ from rivulet.functions import curves
 from rivulet.functions.alerts import severity
 from rivulet.functions.grid import geolocation_cell
 from rivulet.operators import archive, decode, encode, enrich, forecast, neighbors, windows
+from rivulet.plans import streams
 from rivulet.schemas import UNKNOWN_CELL
 from rivulet.sources import fixtures
 
@@ -213,6 +214,21 @@ def pivot_attributes(spark, sf_dir):
     return enrich.pivot_attributes(fixtures.updates(spark, sf_dir), "update_id")
 
 
+@_query
+def latest_parameters_maintained(spark, sf_dir):
+    return _report(streams.latest_parameters_maintained(spark, sf_dir))
+
+
+@_query
+def enrich_archive_pruned(spark, sf_dir):
+    return _report(streams.enrich_archive_pruned(spark, sf_dir))
+
+
+@_query
+def enrich_stream_bounded(spark, sf_dir):
+    return _report(streams.enrich_stream_bounded(spark, sf_dir))
+
+
 # Neighbours
 
 
@@ -258,6 +274,11 @@ def neighbor_snapshot(spark, sf_dir):
     return _report(neighbors.neighbor_snapshot(fixtures.cell_readings(spark, sf_dir), tie="reading_id"), 8)
 
 
+@_query
+def neighbor_mean_streamed(spark, sf_dir):
+    return _report(streams.neighbor_mean_streamed(spark, sf_dir), 8)
+
+
 # Sliding windows and forecast
 
 
@@ -294,6 +315,11 @@ def arima_alerts(spark, sf_dir):
     return _report(forecast.interval_alerts(forecasts, keep=("window_start",)))
 
 
+@_query
+def arima_forecast_streamed(spark, sf_dir):
+    return _report(streams.arima_forecast_streamed(spark, sf_dir))
+
+
 # Archive tables: every key arrives twice, with different contents
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -40,3 +42,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return root.rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of :func:`checkpoint_root`; where none is set, as in tests on one machine, one of our own."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rivulet-"))
+    return checkpoint_root(spark)
