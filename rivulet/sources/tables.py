@@ -8,7 +8,6 @@ version, so a lost executor or a repeated batch cannot damage stored rows, and
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,13 +65,16 @@ def append_rows(rows: DataFrame, table: str, version: int = 0) -> None:
     rows.write.insertInto(table)
 
 
+def _in_arrival(batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> tuple[DataFrame, Sequence[str], list]:
+    """Rows, their keys and their order; what ``order_by`` leaves open is as the rows come."""
+    return batch.withColumn("__arrival", F.monotonically_increasing_id()), keys, [*order_by, "__arrival"]
+
+
 def insert_first_wins(batch: DataFrame, table: str, order_by: Sequence[str] = ()) -> None:
     """Insert the rows whose key is not stored yet; of several the earliest by ``order_by``."""
     spark = batch.sparkSession
     keys = KEYS[table.split(".")[-1]]
-    if not order_by:
-        batch, order_by = batch.withColumn("__arrival", F.monotonically_increasing_id()), ["__arrival"]
-    first = archive.first_wins(batch, keys, order_by).drop("__arrival").persist()
+    first = archive.first_wins(*_in_arrival(batch, keys, order_by)).drop("__arrival").persist()
     try:
         low, high = first.agg(F.min("timestamp"), F.max("timestamp")).first()
         if low is None:
@@ -91,13 +93,22 @@ def upsert_last_wins(
 ) -> None:
     """Store the latest row of every key in the batch; it replaces stored ones.
 
-    The version defaults to the time of the write.
+    The version defaults to one more than any in the days that the batch covers, so what
+    counts does not depend on a clock.
     """
+    spark = batch.sparkSession
     keys = KEYS[table.split(".")[-1]]
-    if not order_by:
-        batch, order_by = batch.withColumn("__arrival", F.monotonically_increasing_id()), ["__arrival"]
-    last = archive.last_wins(batch, keys, order_by).drop("__arrival")
-    append_rows(last, table, time.time_ns() // 1000 if version is None else version)
+    last = archive.last_wins(*_in_arrival(batch, keys, order_by)).drop("__arrival").persist()
+    try:
+        if version is None:
+            low, high = last.agg(F.min(F.to_date("timestamp")), F.max(F.to_date("timestamp"))).first()
+            if low is None:
+                return
+            days = stored(spark, table).where(F.col(DAY).between(F.lit(low), F.lit(high)))
+            version = (days.agg(F.max(VERSION)).first()[0] or 0) + 1
+        append_rows(last, table, version)
+    finally:
+        last.unpersist()
 
 
 def current_rows(spark: SparkSession, table: str) -> DataFrame:

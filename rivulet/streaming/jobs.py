@@ -17,7 +17,7 @@ from rivulet.operators import archive, decode, encode
 from rivulet.operators.enrich import fake_enrich
 from rivulet.session import checkpoint_root, use_utc
 from rivulet.sources import attributes, tables
-from rivulet.sources.topics import Topic, read_topic, write_topic
+from rivulet.sources.topics import ARRIVAL, Topic, read_topic, write_topic
 from rivulet.streaming.enrich import finish_batch, lookup_stream
 from rivulet.streaming.forecast import forecast_alerts_stream
 from rivulet.streaming.neighbors import neighbor_alerts_stream
@@ -52,7 +52,7 @@ def _archive(
     df: DataFrame, table: str, checkpoint: str, available_now: bool, interval: str | None, upsert: bool = False
 ) -> StreamingQuery:
     def store(batch: DataFrame, _batch_id: int) -> None:
-        (tables.upsert_last_wins if upsert else tables.insert_first_wins)(batch, table)
+        (tables.upsert_last_wins if upsert else tables.insert_first_wins)(batch, table, [ARRIVAL])
 
     return _each_batch(df, store, checkpoint, available_now, interval)
 
@@ -88,9 +88,9 @@ def run_enrichment(
     if initialize:
         tables.create_tables(spark, database, tables=["parameters"])
     attributes.create_attribute_tables(spark, database)
-    packets = read_topic(spark, raw, latest)
+    packets = read_topic(spark, raw, latest, start=f"{folder}/start-raw")
     readings = decode.parse_packets(packets, observe="packets")
-    changes = decode.decode_update(read_topic(spark, updates, latest))
+    changes = decode.decode_update(read_topic(spark, updates, latest, start=f"{folder}/start-updates"))
     if from_archive:
         both = readings.select("sensorid", "timestamp", "rawValue").unionByName(
             changes.select("sensorid", "timestamp", "parameter", "value"), allowMissingColumns=True
@@ -165,14 +165,19 @@ def run_storage(
     available_now: bool = False,
     interval: str | None = None,
 ) -> list[StreamingQuery]:
-    """Archive readings, updates and alarms; the first write of a key wins."""
+    """Archive readings, updates and alarms; the first write of a key wins, in the order of the topics."""
     use_utc(spark)
     folder = _folder(spark, checkpoint, "storage")
     tables.create_tables(spark, database, fresh)
+
+    def arrivals(topic: Topic, table: str) -> DataFrame:
+        return read_topic(spark, topic, latest, start=f"{folder}/start-{table}", arrival=True)
+
+    keep = (ARRIVAL,)
     rows = {
-        "measurements": archive.to_measurement(decode.decode_reading(read_topic(spark, rich, latest))),
-        "parameters": archive.to_parameter(decode.decode_update(read_topic(spark, updates, latest))),
-        "alarms": archive.to_alarm(decode.decode_alert(read_topic(spark, alarms, latest))),
+        "measurements": archive.to_measurement(decode.decode_reading(arrivals(rich, "measurements"), keep), keep),
+        "parameters": archive.to_parameter(decode.decode_update(arrivals(updates, "parameters"), keep), keep),
+        "alarms": archive.to_alarm(decode.decode_alert(arrivals(alarms, "alarms"), keep), keep=keep),
     }
     return [
         _archive(df, f"{database}.{table}", f"{folder}/{table}", available_now, interval)
@@ -193,7 +198,8 @@ def run_neighbor(
     """Alarms for readings that deviate from the mean of their grid cell."""
     use_utc(spark)
     folder = _folder(spark, checkpoint, "neighbor")
-    readings = with_event_time(decode.decode_reading(read_topic(spark, rich, latest)), DISORDER)
+    topic = read_topic(spark, rich, latest, start=f"{folder}/start-rich")
+    readings = with_event_time(decode.decode_reading(topic), DISORDER)
     alerts = encode.encode_alert(neighbor_alerts_stream(readings, threshold))
     return [write_topic(alerts, alarms, f"{folder}/alarms", available_now, interval)]
 
@@ -217,7 +223,7 @@ def run_forecast(
     """
     use_utc(spark)
     folder = _folder(spark, checkpoint, "forecast")
-    readings = decode.decode_reading(read_topic(spark, rich, latest))
+    readings = decode.decode_reading(read_topic(spark, rich, latest, start=f"{folder}/start-rich"))
     alerts = forecast_alerts_stream(readings, refire, size=size, slide=slide, lateness=lateness)
     return [write_topic(encode.encode_alert(alerts), alarms, f"{folder}/alarms", available_now, interval)]
 
@@ -240,9 +246,10 @@ def run_passthrough(
     if seed or fresh:
         tables.create_tables(spark, database, fresh)
     # The raw topic carries epoch seconds.
-    enriched = fake_enrich(decode.decode_reading(read_topic(spark, raw, latest), seconds=True))
+    topic = read_topic(spark, raw, latest, start=f"{folder}/start-raw", arrival=True)
+    enriched = fake_enrich(decode.decode_reading(topic, (ARRIVAL,), seconds=True))
 
-    rows, table = archive.to_measurement(enriched), f"{database}.measurements"
+    rows, table = archive.to_measurement(enriched, (ARRIVAL,)), f"{database}.measurements"
     return [
         write_topic(encode.encode_reading(enriched), rich, f"{folder}/rich", available_now, interval),
         _archive(rows, table, f"{folder}/measurements", available_now, interval, upsert=True),

@@ -1,5 +1,6 @@
 import pytest
 from conftest import at
+from pyspark.sql import functions as F
 
 from rivulet.operators import archive
 from rivulet.schemas import ALERT, READING, UPDATE
@@ -103,3 +104,39 @@ def test_key_check_reads_only_days_and_keys_of_the_batch(spark, database):
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
     assert "rawValue" not in plan
+
+
+def test_first_wins_in_the_order_of_the_source(spark, rows, database, tmp_path):
+    """However rows are shuffled on the way, the first line of the first file counts."""
+    import os
+    import time
+
+    from rivulet.operators import decode
+    from rivulet.sources.topics import ARRIVAL, Topic, read_topic
+
+    for name, first in (("b", 0), ("a", 500)):  # the later name is the earlier file
+        lines = [f'{{"n":"s{i % 20}","t":0,"v":{first + i},"c":1}}' for i in range(500)]
+        (tmp_path / f"{name}.txt").write_text("\n".join(lines))
+        os.utime(tmp_path / f"{name}.txt", (time.time() - 100 + first / 10,) * 2)
+    topic = read_topic(spark, Topic("text", str(tmp_path)), streaming=False, arrival=True)
+    batch = archive.to_measurement(decode.decode_reading(topic, (ARRIVAL,)), (ARRIVAL,))
+    for pieces in (1, 7):
+        table = f"{database}.measurements"
+        tables.create_tables(spark, database, fresh=True)
+        tables.insert_first_wins(batch.orderBy(F.rand(pieces)).repartition(pieces), table, [ARRIVAL])
+        assert {r["sensorid"]: r["rawValue"] for r in rows(spark.table(table))} == {f"s{i}": float(i) for i in range(20)}
+        tables.create_tables(spark, database, fresh=True)
+        tables.upsert_last_wins(batch.orderBy(F.rand(pieces)).repartition(pieces), table, [ARRIVAL])
+        assert {r["sensorid"]: r["rawValue"] for r in rows(spark.table(table))} == {f"s{i}": 980.0 + i for i in range(20)}
+
+
+def test_versions_do_not_come_from_a_clock(spark, rows, database, monkeypatch):
+    import time
+
+    table = f"{database}.parameters"
+    for step, value in enumerate(("one", "two", "three")):
+        monkeypatch.setattr(time, "time_ns", lambda: 10**18 - step * 10**17)  # noqa: B023
+        tables.upsert_last_wins(spark.createDataFrame([("a", at(0), "type", value)], UPDATE), table)
+    tables.upsert_last_wins(spark.createDataFrame([("a", at(900_000), "type", "other day")], UPDATE), table)
+    assert [r["value"] for r in rows(tables.current_rows(spark, table), "timestamp", "value")] == ["three", "other day"]
+    assert sorted(r.version for r in spark.table(table).collect()) == [1, 1, 2, 3]

@@ -235,6 +235,40 @@ def test_start_position(monkeypatch):
         assert Session.readStream.seen[key] == wanted
 
 
+@pytest.mark.parametrize("kind", ["text", "table"])
+def test_latest_reads_nothing_of_before(spark, tmp_path, kind):
+    """Also after a restart, which goes on from the first start."""
+    import time
+
+    name = "latest_topic" if kind == "table" else str(tmp_path / "topic")
+
+    def put(text):
+        rows = spark.createDataFrame([(text,)], "value string").coalesce(1)
+        if kind == "table":
+            rows.write.mode("append").saveAsTable(name)
+        else:
+            rows.write.mode("append").text(name)
+        time.sleep(0.05)
+
+    def run_once(number):
+        source = read_topic(spark, Topic(kind, name), latest=True, start=str(tmp_path / "start"))
+        copied = source.selectExpr("'k' as key", "value")
+        finish([write_topic(copied, Topic("json", str(tmp_path / "out")), str(tmp_path / "cp"), available_now=True)])
+        out = spark.read.schema("key string, value string").json(str(tmp_path / "out"))
+        return sorted(r.value for r in out.collect())
+
+    try:
+        put("old")
+        put("older")
+        assert run_once(0) == []
+        put("new")
+        assert run_once(1) == ["new"]
+        put("newer")
+        assert run_once(2) == ["new", "newer"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS latest_topic")
+
+
 def test_checkpoint_root_is_the_folder_the_session_names(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
