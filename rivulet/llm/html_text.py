@@ -74,6 +74,16 @@ class Page:
     link_chars: list[int] = field(default_factory=list)
 
 
+def _unclosed(match: re.Match) -> bool:
+    """Whether a comment or a raw element goes on to the end of the page."""
+    if match[0].startswith("<!--"):
+        return not match[0].endswith("-->")
+    if not match["raw"]:
+        return False
+    inside = match[0][match[0].index(">") + 1 :]
+    return not inside[:-1].rstrip().lower().endswith(f"</{match['raw'].lower()}")
+
+
 def parse(source: str) -> Page:
     page = Page()
     stack: list[int] = []
@@ -114,8 +124,9 @@ def parse(source: str) -> Page:
             if name in within:
                 return
 
-    at = 0
-    for match in _TOKEN.finditer(source):
+    # Behind the last ">" no tag can end, so none is looked for: each "<" would be searched to the end.
+    at, end, match = 0, source.rfind(">") + 1, None
+    for match in _TOKEN.finditer(source, 0, end):
         if match.start() > at:
             piece = source[at : match.start()]
             run.append(piece)
@@ -145,8 +156,11 @@ def parse(source: str) -> Page:
                 close(*_ENDS[tag])
             if tag not in ("html", "body") or not any(names[n] == _BLOCK[tag] for n in stack):
                 open_node(tag, match["attrs"])
-    if at < len(source):
-        run.append(source[at:])
+    if not (match and at == end and _unclosed(match)):
+        piece, comment, _ = source[end:].partition("<!--")
+        run.append(source[at:end] + piece)
+        if comment and in_link and stack:
+            page.link_chars[stack[-1]] += len(run[-1])
     flush()
     return page
 

@@ -29,8 +29,12 @@ from pyspark.sql import functions as F
 from rivulet.llm.labelled import hold_out, labelled_sample
 
 WINDOW = 3
-#: Words have a letter; bare numbers are none.
-_WORD = re.compile(r"\w*[^\W\d]\w*")
+_RUN, _LETTER = re.compile(r"\w+"), re.compile(r"[^\W\d]")
+
+
+def words_of(text: str) -> list[str]:
+    """Words have a letter; bare numbers are none."""
+    return [w for w in _RUN.findall(text.lower()) if _LETTER.search(w)]
 
 
 def ngrams(word: str, buckets: int) -> list[int]:
@@ -65,7 +69,7 @@ class _Shares(dict):
     def score(self, text: str) -> float:
         if len(self) > self.max_words:
             self.clear()
-        words = _WORD.findall(text.lower())
+        words = words_of(text)
         logit = self.model.bias
         if words:
             shares = np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
@@ -93,7 +97,7 @@ def fit(
     """
     numbers: dict[str, int] = {}
     docs = [
-        np.array([numbers.setdefault(w, len(numbers)) for w in _WORD.findall(t.lower())], dtype=np.int32) for t in texts
+        np.array([numbers.setdefault(w, len(numbers)) for w in words_of(t)], dtype=np.int32) for t in texts
     ]
     use = [i for i, d in enumerate(docs) if len(d)]
     if not use:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -621,3 +622,19 @@ def test_rotation_balances_bits():
     turn = embedding_dedup.learn_rotation(sample, rng)
     assert turn.T @ turn == pytest.approx(np.eye(16), abs=1e-8)
     assert (np.abs((sample @ turn > 0).mean(axis=0) - 0.5) < 0.1).all()
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<p x="', "<!-", "</", "1", "1 <svg "])
+def test_very_long_odd_pages_and_texts_take_linear_time(piece):
+    long = piece * (5_000_000 // len(piece))
+    start = time.perf_counter()
+    html_text.parse(f"<p>kept</p>{long}")
+    toxicity.words_of(long)
+    assert time.perf_counter() - start < 5
+
+
+def test_what_is_open_goes_on_to_the_end():
+    for page in ("<p>kept</p><!-- a > b", "<p>kept</p><script>if (a > b)</p> x", "<p>kept</p><svg a>b</p> c<p"):
+        assert [t for _, t in html_text.parse(page).texts] == ["kept"]
+    for page in ("<p>kept</p><!-- a > b --> x <b", "<p>kept</p><title>if (a > b)</title > x <b"):
+        assert [t for _, t in html_text.parse(page).texts] == ["kept", "x <b"]
