@@ -1,14 +1,15 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
-A word is the bag of its character n-grams (3 to 5, with word ends) and of itself; its
-vector is the mean of their embeddings, so an unseen misspelling shares most of its vector
-with the word it stands for. The vectors of a window of ``WINDOW`` words are averaged into
-a softmax of two classes, and a document is as toxic as its most toxic window. Embeddings
-and softmax are trained jointly in numpy on at most ``max_labelled`` labelled rows: first
-on whole documents, then on the most toxic window of each. As the softmax is linear, a
+A word is the bag of its character n-grams (3 to 5, with word ends), of its beginnings (up
+to 8 characters, for compounds) and of itself; its vector is the mean of their embeddings,
+so an unseen misspelling shares most of its vector with the word it stands for. The vectors
+of a document's most toxic words, ``top_words`` of them, are averaged into a softmax of two
+classes: a single odd word makes no toxic document, and where words stand does not matter.
+Embeddings and softmax are trained jointly in numpy on at most ``max_labelled`` labelled
+rows: first on whole documents, then on the most toxic words of each. As the softmax is linear, a
 trained model needs one number per n-gram, and a word's share is looked up once.
 
-Null and empty texts have no window and get the score of the bias. Repeated rows get a row
+Null and empty texts have no words and get the score of the bias. Repeated rows get a row
 each, an empty table gives none, and without labelled rows every score is one half.
 """
 
@@ -28,20 +29,26 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.labelled import hold_out, labelled_sample
 
-WINDOW = 3
-_RUN, _LETTER = re.compile(r"\w+"), re.compile(r"[^\W\d]")
+LEAST_WORDS, WORDS_A_TOP = 3, 100
+_WORD = re.compile(r"\b\d*+[^\W\d]\w*")
 
 
 def words_of(text: str) -> list[str]:
     """Words have a letter; bare numbers are none."""
-    return [w for w in _RUN.findall(text.lower()) if _LETTER.search(w)]
+    return _WORD.findall(text.lower())
 
 
 def ngrams(word: str, buckets: int) -> list[int]:
     marked = f"<{word}>"
-    parts = {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
-    parts.add(marked + "*")
-    return [zlib.crc32(p.encode()) % buckets for p in sorted(parts)]
+    parts = [marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)]
+    parts += [marked[:n] for n in range(6, min(len(marked), 10))]
+    parts.append(marked + "*")
+    return [zlib.crc32(p.encode()) % buckets for p in parts]
+
+
+def top_words(n: int | np.ndarray) -> int | np.ndarray:
+    """How many words of a document of ``n`` words are averaged: some at least, and a share of all."""
+    return np.minimum(n, LEAST_WORDS + n // WORDS_A_TOP)
 
 
 @dataclass(frozen=True)
@@ -73,9 +80,8 @@ class _Shares(dict):
         logit = self.model.bias
         if words:
             shares = np.fromiter(map(self.__getitem__, words), dtype=np.float64, count=len(words))
-            starts = np.arange(0, len(words), WINDOW)
-            sizes = np.minimum(WINDOW, len(words) - starts)
-            logit += float((np.add.reduceat(shares, starts) / sizes).max())
+            n, k = len(words), int(top_words(len(words)))
+            logit += float(np.partition(shares, n - k)[n - k :].mean())
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
 
 
@@ -86,12 +92,12 @@ def fit(
     width: int = 4,
     min_docs: int = 5,
     whole_epochs: int = 8,
-    window_epochs: int = 30,
+    top_epochs: int = 30,
     rate: float = 0.05,
     decay: float = 1e-5,
     seed: int = 11,
 ) -> ToxicModel:
-    """Adam over the whole sample: first whole documents, then each one's most toxic window.
+    """Adam over the whole sample: first whole documents, then each one's most toxic words.
 
     N-grams of fewer than ``min_docs`` documents keep an embedding of zero.
     """
@@ -105,13 +111,8 @@ def fit(
     words = np.concatenate([docs[i] for i in use])
     doc_sizes = np.array([len(docs[i]) for i in use])
     doc_starts = np.cumsum(doc_sizes) - doc_sizes
+    word_doc = np.repeat(np.arange(len(use)), doc_sizes)
     target = np.array([labels[i] for i in use], dtype=np.float64)
-    windows = -(-doc_sizes // WINDOW)
-    win_first = np.cumsum(windows) - windows
-    win_doc = np.repeat(np.arange(len(use)), windows)
-    win_starts = doc_starts[win_doc] + WINDOW * (np.arange(windows.sum()) - win_first[win_doc])
-    win_sizes = np.minimum(WINDOW, (doc_starts + doc_sizes)[win_doc] - win_starts)
-
     grams, bag_ends = array("i"), array("q", [0])
     for w in numbers:
         grams.extend(ngrams(w, buckets))
@@ -142,19 +143,17 @@ def fit(
             v += 0.01 * (g * g - v)
             p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
 
-    for epoch in range(whole_epochs + window_epochs):
+    for epoch in range(whole_epochs + top_epochs):
         vectors = np.stack([np.bincount(owner, emb[:, k][flat] * weight, n_words) for k in range(width)], axis=1)
         if epoch < whole_epochs:
-            starts, sizes = doc_starts, doc_sizes
+            order, starts, sizes = np.arange(len(words)), doc_starts, doc_sizes
         else:
             share = (vectors @ (soft[:, 1] - soft[:, 0]))[words]
-            level = np.add.reduceat(share, win_starts) / win_sizes
-            order = np.lexsort((level, win_doc))
-            top = order[win_first + windows - 1]
-            starts, sizes = win_starts[top], win_sizes[top]
+            sizes = top_words(doc_sizes)
+            order, starts = np.lexsort((share, word_doc)), doc_starts + doc_sizes - sizes
         rows = np.repeat(np.arange(len(use)), sizes)
         within = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        chosen = words[np.repeat(starts, sizes) + within]
+        chosen = words[order[np.repeat(starts, sizes) + within]]
         hidden = np.stack([np.bincount(rows, vectors[:, k][chosen]) for k in range(width)], axis=1) / sizes[:, None]
         logits = hidden @ soft + bias
         logits -= logits.max(axis=1, keepdims=True)

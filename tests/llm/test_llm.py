@@ -178,6 +178,34 @@ def test_toxicity_shares_ngrams_with_misspellings():
     assert scorer["zorglinq"] > scorer["abcabc"]
 
 
+def test_toxicity_finds_the_held_out_rows_of_each_language(spark):
+    folder = SF_DIR.replace("sf0.01", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.train_toxicity(docs, labels)
+    scored = toxicity.score_toxicity(docs, model).where("held_out").join(labels, "doc_id")
+    counts = defaultdict(lambda: [0, 0, 0])
+    for r in scored.join(docs.select("doc_id", "lang"), "doc_id").collect():
+        for group in (r.lang, "all"):
+            for i, hit in enumerate((r.toxic == 1 == r.predicted, r.toxic == 1, r.predicted == 1)):
+                counts[group][i] += hit
+    for group, (both, toxic, found) in counts.items():
+        least = 0.94 if group == "all" else 0.85
+        assert both / toxic >= least and both / found >= least, (group, both, toxic, found)
+
+
+def test_toxicity_scores_equal_the_mean_of_the_most_toxic_words():
+    rng = np.random.default_rng(5)
+    model = toxicity.ToxicModel(rng.normal(size=512), -1.0)
+    scorer = model.scorer(max_words=50)
+    for n in (0, 1, 2, 3, 7, 150, 420):
+        words = base_text(n, n)
+        each = [sum(model.share[g] for g in toxicity.ngrams(w, 512)) / len(toxicity.ngrams(w, 512)) for w in words]
+        top = sorted(each)[-min(n, 3 + n // 100) :] if n else [0.0]
+        assert scorer.score(" 12 ".join(words)) == pytest.approx(1 / (1 + math.exp(1.0 - sum(top) / len(top))))
+        rng.shuffle(words)
+        assert scorer.score(" ".join(words)) == pytest.approx(scorer.score(" ".join(words[::-1])))
+
+
 @pytest.mark.parametrize("kind", ["quality", "toxicity"])
 def test_classifiers_on_odd_rows(spark, kind):
     docs = documents(spark, [*ODD, "twice", "twice"], [None, *range(len(ODD) - 1), 90, 90])
