@@ -18,10 +18,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import count
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +28,7 @@ from rivulet.llm import common
 _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
+_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _INDEX = "row long, doc_id long, n_words long, term string, positions array<int>"
 
 
@@ -79,7 +78,7 @@ def document_frequencies(documents: DataFrame, terms: list[str]) -> dict[str, in
 def build_index(documents: DataFrame, ranked: list[list[str]]) -> DataFrame:
     """Postings of the windows' terms, and one row per document that has no term but its word count.
 
-    ``ranked`` holds the windows as their terms by rising frequency.
+    ``documents`` has ``row``, ``doc_id`` and ``text``; ``ranked`` holds the windows as their terms by rising frequency.
     """
     by_rarest: dict[bytes, list[tuple[bytes, list[bytes]]]] = {}
     for window in ranked:
@@ -88,11 +87,10 @@ def build_index(documents: DataFrame, ranked: list[list[str]]) -> DataFrame:
     rarest = set(by_rarest)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = count(TaskContext.get().partitionId() << 40)
         for ids, block in common.text_blocks(batches, max_rows=1024):
             rows: list[tuple] = []
-            for doc_id, text in zip(ids, block, strict=True):
-                words, number = words_of(text), next(numbers)
+            for own, text in zip(ids, block, strict=True):
+                words, number, doc_id = words_of(text), own["row"], own["doc_id"]
                 rows.append((number, doc_id, len(words), None, None))
                 if found := rarest.intersection(words):
                     there = set(words)
@@ -109,7 +107,7 @@ def build_index(documents: DataFrame, ranked: list[list[str]]) -> DataFrame:
                 ["row", "doc_id", "n_words", "term", "positions"],
             )
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    texts = documents.select(F.struct("row", F.col("doc_id").cast("long").alias("doc_id")).alias("own"), "text")
     return common.written(texts.mapInArrow(post, _INDEX), "postings")
 
 
@@ -194,22 +192,30 @@ def find_contamination(
     length: int = 10,
     width: int | None = None,
     max_item_words: int = 500_000,
+    max_item_bytes: int = 8 << 20,
 ) -> tuple[DataFrame, DataFrame]:
     """The documents (``row``, ``doc_id``, ``n_words``) and the matches of item windows in them.
 
-    The windows' terms go to every task. Items of more than ``max_item_words`` words in all
-    are taken in slices of about that size, each with an index of its own.
+    The windows' terms go to every task. Items of more than ``max_item_words`` words or
+    ``max_item_bytes`` bytes in all are taken in slices of about that size, each with an index
+    of its own; an item is in one slice. Rows are numbered once for all slices.
     """
     plain = items.select("item_id", F.col("text"))
-    total = plain.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"\W+")))).first()[0] or 0
-    slices = 1 + total // max_item_words
+    size = plain.agg(F.sum(F.size(F.split("text", _BREAK))).alias("words"), F.sum(F.octet_length("text")).alias("bytes"))
+    total = size.first()
+    slices = 1 + max((total["words"] or 0) // max_item_words, (total["bytes"] or 0) // max_item_bytes)
+    if slices == 1:  # the documents are numbered in one scan only
+        texts = documents.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    else:
+        number = common.fresh("_row", documents)
+        texts = common.numbered(documents, number).select(F.col(number).alias("row"), "doc_id", "text")
     heads, matches = None, None
     for number in range(slices):
         own = plain.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == number) if slices > 1 else plain
         windows = common.written(item_windows(own, length).distinct(), "windows")
         terms = [r[0] for r in windows.select(F.explode("words")).distinct().collect()]
-        usable, ranked = ranked_windows(windows, document_frequencies(documents, terms))
-        index = build_index(documents, ranked)
+        usable, ranked = ranked_windows(windows, document_frequencies(texts, terms))
+        index = build_index(texts, ranked)
         found = match_windows(index, usable, width)
         heads = index.where(F.col("term").isNull()).select("row", "doc_id", "n_words") if heads is None else heads
         matches = found if matches is None else matches.unionByName(found)
