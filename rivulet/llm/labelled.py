@@ -17,7 +17,8 @@ def labelled_sample(
 ) -> DataFrame:
     """At most ``bound`` labelled documents outside the hold-out: those least by a hash of the id.
 
-    The chosen ids are at most ``bound`` rows of two numbers, so they are broadcast.
+    The chosen ids are at most ``bound`` rows of two numbers, so they are broadcast. Where ids
+    repeat, the bound holds for rows: of those beyond it, equal in id, the texts of least hash stay.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
@@ -27,7 +28,8 @@ def labelled_sample(
         .limit(bound)
     )
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), *_others(documents))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(bound)
 
 
 def _others(documents: DataFrame) -> list[str]:

@@ -18,6 +18,7 @@ from rivulet.llm import (
     decontamination,
     embedding_dedup,
     html_text,
+    labelled,
     lm_scores,
     order_minhash,
     packing,
@@ -224,6 +225,14 @@ def test_classifiers_on_odd_rows(spark, kind):
     assert score(empty).count() == 0
 
 
+def test_labelled_rows_are_bounded_where_ids_repeat(spark):
+    docs = documents(spark, [f"text {i}" for i in range(50)] + ["other"], [1] * 50 + [2])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    take = lambda bound: labelled.labelled_sample(docs, labels, "toxic", F.lit(False), bound).collect()
+    assert len(take(2)) == 2 and len(take(100)) == 51
+    assert sorted(map(tuple, take(7))) == sorted(map(tuple, take(7)))
+
+
 def test_classifier_stage_keeps_all_columns(spark):
     docs = documents(spark, ["fine text", None]).withColumn("n_chars", F.lit(3).cast("long"))
     machine = quality.fit([], 64)
@@ -511,12 +520,27 @@ def test_contamination_equals_brute_force(spark):
     heads, matches = decontamination.find_contamination(df, table, max_item_words=60)
     hit = {r.doc_id for r in heads.join(matches, "row", "left_semi").collect()}
     assert hit == {i for i, w in want.items() if w[4]}
+    by_bytes, matches = decontamination.find_contamination(df.orderBy(F.rand(3)), table, max_item_bytes=200)
+    assert {r.doc_id for r in by_bytes.join(matches, "row", "left_semi").collect()} == hit
     left = decontamination.drop_contaminated(df, table)
     assert {r.doc_id for r in left.collect()} == {i for i, w in want.items() if not w[4]}
     assert decontamination.drop_contaminated(df, table.where("false")).count() == len(docs)
     assert decontamination.contamination_report(df.where("false"), table).count() == 0
 
 
+def test_benchmarks_of_other_scripts_are_sliced(spark, monkeypatch):
+    sizes = []
+    cut = decontamination.item_windows
+    monkeypatch.setattr(decontamination, "item_windows", lambda items, n: sizes.append(items.count()) or cut(items, n))
+    words = [f"слово{i}" for i in range(200)]
+    items = [(i, " ".join(words[5 * i : 5 * i + 20])) for i in range(30)]
+    df = documents(spark, [" ".join(words[10:40]), "ничего " * 20, None])
+    table = spark.createDataFrame(items, "item_id long, text string")
+    heads, matches = decontamination.find_contamination(df, table, max_item_words=200)
+    assert len(sizes) >= 3 and sum(sizes) == len(items)
+    assert {r.doc_id for r in heads.join(matches, "row", "left_semi").collect()} == {0}
+
+
 def test_proximity_matches(spark):
     items = spark.createDataFrame([(1, "red green blue")], "item_id long, text string")
     docs = documents(spark, ["blue x red y green", "red green x x x x x x x x x x x x blue", "red green"])
