@@ -5,7 +5,9 @@ number. A sketch takes the ``LENGTH`` labelled shingles of least hash and keeps
 text order, so two documents share it if they share these shingles in the same order; that
 is sensitive to edit similarity, not only to the sets of shingles. Documents that share
 one of the first ``KEYS`` sketches are candidates if they share ``LEAST_SHARED`` of all
-``SKETCHES``. At similarity 0.8 a pair shares a key but for one case in five thousand.
+``SKETCHES``. At similarity 0.8 a pair shares a key but for one case in five thousand, of
+texts of nine words for one in five hundred; of the others fewer than one in ten thousand
+share no second sketch.
 A candidate is linked if the best alignment of the shingle sequences within the band that
 the threshold allows matches at least 0.8 of all shingles.
 
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from rivulet.llm import common
 from rivulet.llm.components import components
 
-K, LENGTH, SKETCHES, KEYS, LEAST_SHARED, BLOCK = 5, 3, 24, 12, 5, 2048
+K, LENGTH, SKETCHES, KEYS, LEAST_SHARED, BLOCK = 5, 3, 24, 12, 2, 2048
 _WORD = re.compile(r"\w+")
 _ODD = np.random.default_rng(2023).integers(1, 2**63, (SKETCHES, 2), dtype=np.uint64) | np.uint64(1)
 
