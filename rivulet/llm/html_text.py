@@ -7,8 +7,9 @@ node's exact marginal; text directly in nodes of marginal one half or more is ke
 are those of greatest conditional likelihood on labelled pages, found with the same
 messages; the labelled pages are built here from page plans whose parts are known.
 
-Inline elements belong to the block around them. Scripts, styles, comments, titles and
-the insides of form controls are no text; other text in an open head ends the head, as in
+Inline elements belong to the block around them. Scripts, styles, comments, titles, the
+insides of form controls and buttons, what a video, audio or canvas shows instead of itself,
+and blocks that are hidden by attribute or style are no text; other text in an open head ends the head, as in
 browsers, and is text of the page. Character references are decoded, white space
 within a block is one space, and blocks are joined in page order by two line feeds. Null,
 empty and text-free pages give an empty text; repeated rows get a row each.
@@ -34,12 +35,16 @@ from rivulet.llm import common
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?:svg|object)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|object)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|select|object|button|video|audio|canvas)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|</?[a-zA-Z!?/][^>]*>",
     re.S | re.I,
 )
 _NAMED = re.compile(r"""(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
+_STYLE = re.compile(r"(?<![\w-])style\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PART = re.compile(r"[a-z]+", re.I)
 #: Block elements; all others are inline.
 BLOCKS = (
@@ -89,6 +94,7 @@ def parse(source: str) -> Page:
     stack: list[int] = []
     run: list[str] = []
     names = page.tag
+    hidden: set[int] = set()
     in_link = False
 
     def open_node(tag: str, attrs: str) -> None:
@@ -99,20 +105,32 @@ def parse(source: str) -> Page:
             for a, b, c in _NAMED.findall(attrs):
                 found += [zlib.crc32(w.lower().encode()) % _WORDS for w in _PART.findall(a or b or c)]
             page.label.append(1 if 'data-content="1"' in attrs else 0)
+            styles = (a or b for a, b in _STYLE.findall(attrs))
+            if _HIDDEN.search(_QUOTED.sub('""', attrs)) or any(map(_UNSEEN.search, styles)):
+                hidden.add(len(names) - 1)
         else:
             page.label.append(0)
+        if page.parent[-1] in hidden:
+            hidden.add(len(names) - 1)
         page.words.append(found)
         page.link_chars.append(0)
         stack.append(len(names) - 1)
 
+    def open_body() -> None:
+        """As in browsers, what stands outside of a body opens one."""
+        if not stack:
+            open_node("html", "")
+        if len(stack) == 1 and names[stack[0]] == _BLOCK["html"]:
+            open_node("body", "")
+
     def flush() -> None:
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             run.clear()
             if text:
-                if not stack:
-                    open_node("body", "")
-                page.texts.append((stack[-1], text))
+                open_body()
+                if stack[-1] not in hidden:
+                    page.texts.append((stack[-1], text))
 
     def close(tags: set[str], within: set[str]) -> None:
         for depth in range(len(stack) - 1, -1, -1):
@@ -154,7 +172,12 @@ def parse(source: str) -> Page:
             close({"p"}, {"li", "td", "th", "blockquote", "div", "article", "section", "body", "dd"})
             if tag in _ENDS:
                 close(*_ENDS[tag])
-            if tag not in ("html", "body") or not any(names[n] == _BLOCK[tag] for n in stack):
+            if tag not in ("html", "body"):
+                open_body()
+                open_node(tag, match["attrs"])
+            elif not any(names[n] == _BLOCK[tag] for n in stack):
+                if tag == "body" and not stack:
+                    open_node("html", "")
                 open_node(tag, match["attrs"])
     if not (match and at == end and _unclosed(match)):
         piece, comment, _ = source[end:].partition("<!--")
@@ -255,7 +278,7 @@ class TreeModel:
         return sum_product(unary, self.pairs[kind], parent, depth)[0][:, 1]
 
 
-def fit(pages: list[Page], steps: int = 150, rate: float = 0.1, decay: float = 1e-3) -> TreeModel:
+def fit(pages: list[Page], steps: int = 250, rate: float = 0.1, decay: float = 3e-4) -> TreeModel:
     """Weights of greatest conditional likelihood (Adam), with expectations from the messages."""
     parent, depth, kind, index, owner = node_features(pages)
     label = np.array([x for p in pages for x in p.label])
@@ -280,7 +303,7 @@ def fit(pages: list[Page], steps: int = 150, rate: float = 0.1, decay: float = 1
     return TreeModel(*theta)
 
 
-def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
+def labelled_pages(n: int = 800, seed: int = 5) -> list[str]:
     """Pages from plans of known parts; content elements carry ``data-content="1"``."""
     rng = random.Random(seed)
     syllables = "an be co du er fi go ha in ka le mo na or pe ra se ti un ve".split()
@@ -312,10 +335,11 @@ def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
             lambda: element("aside", f"<h3>{words(1, 3)}</h3>" + links(3, 7, (2, 8)), "sidebar related widget"),
             lambda: element("div", f"<h3>{words(1, 3)}</h3>" + rng.choice((links(3, 7, (2, 8)), f"<p>{prose(1, 3)}</p>")), "sidebar side related widget recommended trending more-stories"),
             lambda: element("aside", f"<p>{prose(1, 3)}</p>", "sidebar promo"),
-            lambda: element("div", prose(1, 2), "ad ads advert advertisement sponsored promo banner ad-slot"),
+            lambda: element("div", prose(1, 2), "ad ad ad-box ads advert advertisement sponsored promo banner ad-slot"),
             lambda: element("div", element("p", prose(1, 2)), "ad advert sponsored promo"),
             lambda: element("div", element("p", prose(1, 2)) + "<button>ok</button>", "cookie cookies consent notice alert banner gdpr cookie-notice popup modal"),
             lambda: element("section", element("p", prose(1, 2)), "notice consent newsletter subscribe"),
+            lambda: f"<table><tr>{''.join(f'<td><a href=/{i}>{words(1, 2)}</a></td>' for i in range(rng.randint(2, 6)))}</tr></table>",
             lambda: element("form", f"<label>{words(1, 3)}</label><input>" + element("p", sentence()) + "<button>go</button>", "search login subscribe newsletter contact"),
         )
         return rng.choice(kinds)()
@@ -327,12 +351,39 @@ def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
         inside = "".join(one() for _ in range(rng.randint(1, 6)))
         return element(rng.choice(("section", "div")), f"<h3>{words(1, 2)}</h3>" + inside, "comments discussion responses comment-list respond")
 
+    def paragraph() -> str:
+        return element("p", rng.choice((sentence, sentence, prose))(), content=True)
+
+    def plain_page() -> str:
+        """Text without a heading, a wrapper or names, with little or nothing beside it."""
+        some = rng.randint(1, rng.choice((1, 2, 6)))
+        head = element("h1", rng.choice((words(1, 4), sentence())), content=True) if rng.random() < 0.4 else ""
+        paragraphs = "".join(paragraph() for _ in range(some))
+        mark = ""
+        kind = rng.random()
+        if kind < 0.35:
+            text = head + paragraphs
+        elif kind < 0.65:
+            text = element(rng.choice(("article", "article", "main")), head + paragraphs, content=True)
+        elif kind < 0.75:
+            note = f' data-content="1"><x-note>{sentence()}</x-note>'
+            text = f"<article{note}{paragraphs}</article>"
+        else:
+            mark, text = ' data-content="1"', head + "<br>".join(sentence() for _ in range(some))
+        before = "".join(furniture() for _ in range(rng.choice((0, 1, 1, 2)))) if not mark else ""
+        after = rng.choice(("", "", f"<footer>{prose(1, 2)}</footer>")) if before else ""
+        return f"<html><body{mark}>{before}{text}{after}</body></html>"
+
     def article() -> str:
-        parts = [element("h1", rng.choice((words(1, 9), sentence())), content=True)]
+        parts = [element("h1", rng.choice((words(1, 9), sentence())), content=True)] if rng.random() < 0.85 else []
         plain = rng.random() < 0.25
+        poor = rng.random() < 0.1
         for _ in range(rng.choice((1, 2, rng.randint(1, 14)))):
             kind = rng.random()
-            if kind < 0.72:
+            if poor and kind < 0.86:
+                again = " ".join([words(1, 1).capitalize() + rng.choice(("", "", ",", "."))] * rng.randint(2, 200))
+                parts.append(element("p", rng.choice((again, words(1, 3).capitalize() + ".")), content=True))
+            elif kind < 0.72:
                 parts.append(element("p", words(1, rng.choice((5, 30, 150))) if plain else prose(1, 7), content=True))
             elif kind < 0.78:
                 parts.append(element("p", f"<b>{sentence()}<br>", content=True))
@@ -355,6 +406,8 @@ def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
         return element(tag, "".join(parts), names, content=True)
 
     def one_page() -> str:
+        if rng.random() < 0.23:
+            return plain_page()
         parts = []
         if rng.random() < 0.6:
             parts.append(element("header", f"<h1>{words(1, 3)}</h1>" * rng.randint(0, 1) + f"<p>{words(2, 6)}</p>", "header masthead site-header top"))
@@ -369,7 +422,7 @@ def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
             foot = rng.choice((f"&copy; {words(1, 3)} &middot; {prose(1, 2)}", links(2, 5), f"<p>{prose(1, 2)}</p>"))
             parts.append(element(rng.choice(("footer", "footer", "div")), foot, "footer legal copyright site-footer bottom"))
         body = "".join(parts)
-        if rng.random() < 0.3:
+        if rng.random() < 0.2:
             body = element("div", body, "page wrapper container site")
         return f"<!DOCTYPE html><html><head><title>{words(2, 6)}</title></head><body>{body}</body></html>"
 
@@ -377,7 +430,7 @@ def labelled_pages(n: int = 400, seed: int = 5) -> list[str]:
 
 
 @lru_cache(maxsize=4)
-def trained_model(n: int = 400, seed: int = 5) -> TreeModel:
+def trained_model(n: int = 800, seed: int = 5) -> TreeModel:
     return fit([parse(page) for page in labelled_pages(n, seed)])
 
 

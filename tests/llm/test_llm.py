@@ -282,6 +282,39 @@ def test_no_text_is_lost_to_open_heads_and_empty_elements(before):
     assert all(f"Sentence {i} of" in text for i in range(6))
 
 
+KEPT = "Kept text is here, long enough."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<article><p>{KEPT}</p><p>Another full sentence is here.</p></article>", f"{KEPT}\n\nAnother full sentence is here."),
+        (f"<body><h1>Title</h1><p>{KEPT}</p></body>", f"Title\n\n{KEPT}"),
+        (f"<body>{'<br>'.join([KEPT] * 10)}</body>", " ".join([KEPT] * 10)),
+        ("<p>Short.</p>", "Short."),
+        (f"<article><my-note>Own element.</my-note><p>{KEPT}</p></article>", f"Own element.\n\n{KEPT}"),
+        ("<article><p>When a < b the result holds.</p></article>", "When a < b the result holds."),
+        (f"<article><h1>T x</h1><p>{KEPT}</p><button>Press</button></article>", f"T x\n\n{KEPT}"),
+        (f"<article><h1>T x</h1><p hidden>No words.</p><p>{KEPT}</p></article>", f"T x\n\n{KEPT}"),
+        (f"<article><h1>T x</h1><div style='display: none'><p>No.</p></div><p>{KEPT}</p></article>", f"T x\n\n{KEPT}"),
+        (f"<article><h1>T x</h1><p class='a hidden b'>{KEPT}</p></article>", f"T x\n\n{KEPT}"),
+        (f"<article><h1>T x</h1><p>{KEPT}</p><video src='v'>No video here.</video></article>", f"T x\n\n{KEPT}"),
+        (
+            "<table><tr><td><a href='/a'>one</a></td><td><a href='/b'>two</a></td></tr></table>"
+            f"<article><h1>T x</h1><p>{KEPT}</p></article>",
+            f"T x\n\n{KEPT}",
+        ),
+        (
+            "<body><nav><ul><li><a href=/>Home</a></li></ul></nav><div class='ad'>Buy this now. It is cheap.</div>"
+            f"<p>{KEPT}</p><footer>All rights reserved.</footer></body>",
+            KEPT,
+        ),
+    ],
+)
+def test_plain_pages(page, want):
+    assert html_text.main_texts([page], html_text.trained_model()) == [want]
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(4)
     parent, depth = np.array([-1, 0, 0, 1, 1]), np.array([0, 1, 1, 2, 2])
