@@ -14,6 +14,17 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark: SparkSession) -> SparkSession:
+    """Map states need a state store with column families, which Spark's default has not; any other one stays."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(provider).endswith(".HDFSBackedStateStoreProvider"):
+        spark.conf.set(provider, ROCKSDB)
+    return spark
+
+
 def build_session(master: str | None = None, app: str = "rivulet", **conf: str) -> SparkSession:
     """A session with the settings the library is tuned for.
 
@@ -24,10 +35,7 @@ def build_session(master: str | None = None, app: str = "rivulet", **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)

@@ -21,6 +21,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from rivulet.operators.forecast import MIN_HISTORY, MOMENTS, estimate, forecastable, interval_alerts
 from rivulet.operators.windows import Sliding, duration_seconds
+from rivulet.session import use_rocksdb
 from rivulet.streaming.time import DISORDER, LATENESS, with_event_time
 
 _HEAD, _TAIL, _LAGS = 3, 5, 3
@@ -242,6 +243,7 @@ def forecast_stream(
     again, as the next ``revision``, whenever readings come that are late by no more than
     ``lateness``. Readings later than that are in no window.
     """
+    use_rocksdb(readings.sparkSession)
     windows = Sliding(size, slide)
     delay, late = duration_seconds(disorder), duration_seconds(lateness)
     rows = forecastable(readings, "conValue", include_unconverted).select("sensorid", "timestamp", "conValue")
