@@ -24,7 +24,7 @@ def events(tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["enrich_stream_bounded", "arima_forecast_streamed"])
+@pytest.mark.parametrize("name", ["neighbor_mean_streamed", "enrich_stream_bounded", "arima_forecast_streamed"])
 def test_stream(spark, events, name):
     session = spark.newSession()
     session.conf.set(PROVIDER, DEFAULT)
