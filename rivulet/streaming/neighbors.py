@@ -30,6 +30,9 @@ PARTS = 10**10
 # Readings in a block at most, and the stretch of time that one task sums.
 BLOCK_ROWS = 4096
 STRETCH_SECONDS = 60
+# Groups for each shuffle partition, in which its stretches are packed; and readings sent on together.
+PACK_GROUPS = 16
+BATCH_ROWS = 65_536
 
 _CHANGE = (
     "timestamp timestamp, cell bigint, sensorid string, conValue double, "
@@ -48,66 +51,88 @@ class SensorChange(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values("timestamp", kind="stable", ignore_index=True)
-        time, cell, whole, part = tuple(self.last.get()) if self.last.exists() else (None, None, 0, 0)
-        out = batch.rename(columns={"gridCell": "cell"}).assign(sensorid=key[0], probe=True)
+        order = np.argsort(batch["timestamp"].to_numpy(), kind="stable")
+        # Plain arrays: frames take most of the time where a sensor has few readings.
+        times, values = batch["timestamp"].to_numpy()[order], batch["conValue"].to_numpy("float64")[order]
+        cells, wholes, parts = (batch[name].to_numpy("int64")[order] for name in ("gridCell", "whole", "part"))
+        time, cell, whole, part = tuple(self.last.get() or (None, None, 0, 0))
         # Older than what the cell already knows: compared, but not stored.
-        late = out["timestamp"] < pd.Timestamp(time) if time is not None else pd.Series(False, out.index)
-        old, new = out[late].assign(whole=0, part=0, step=0), out[~late]
-        parts = [old]
-        if not new.empty:
-            # Plain integer arrays: cell ids do not fit into floats.
-            cells = new["cell"].to_numpy("int64")
+        late = times < np.datetime64(time) if time is not None else np.zeros(len(times), dtype=bool)
+        old, new = np.flatnonzero(late), np.flatnonzero(~late)
+        none = np.zeros(len(old), dtype="int64")
+        out = [(old, cells[old], none, none, none, True)]
+        if len(new):
+            own, whole_now, part_now = cells[new], wholes[new], parts[new]
             had = np.arange(len(new)) > (-1 if cell is not None else 0)
-            cells_before = np.concatenate([[cell if cell is not None else 0], cells[:-1]]).astype("int64")
-            stays = had & (cells_before == cells)
+            own_before = _shifted(own, cell if cell is not None else 0)
+            whole_before, part_before = _shifted(whole_now, whole), _shifted(part_now, part)
+            stays = had & (own_before == own)
             moved = had & ~stays
-            here, gone = {"step": (~stays).astype("int64")}, {"step": -1}
-            for name, first in (("whole", whole), ("part", part)):
-                now = new[name].to_numpy("int64")
-                before = np.concatenate([[first], now[:-1]]).astype("int64")
-                here[name] = np.where(stays, now - before, now)
-                gone[name] = -before[moved]
-            parts.append(new.assign(**here))
-            parts.append(new[moved].assign(cell=cells_before[moved], probe=False, **gone))
-            last = new.iloc[-1]
-            self.last.update(
-                (last["timestamp"].to_pydatetime(), int(last["cell"]), int(last["whole"]), int(last["part"]))
-            )
-        changes = pd.concat([p for p in parts if not p.empty], ignore_index=True)
-        yield changes[["timestamp", "cell", "sensorid", "conValue", "whole", "part", "step", "probe"]]
+            out.append((new, own, whole_now - stays * whole_before, part_now - stays * part_before, (~stays).astype("int64"), True))
+            gone = np.full(int(moved.sum()), -1, dtype="int64")
+            out.append((new[moved], own_before[moved], -whole_before[moved], -part_before[moved], gone, False))
+            self.last.update((pd.Timestamp(times[new[-1]]).to_pydatetime(), int(own[-1]), int(whole_now[-1]), int(part_now[-1])))
+        at = np.concatenate([rows for rows, *_ in out])
+        probe = np.concatenate([np.full(len(rows), probe) for rows, *_, probe in out])
+        cell, whole, part, step = (np.concatenate([group[i] for group in out]) for i in range(1, 5))
+        yield pd.DataFrame(
+            {
+                "timestamp": times[at],
+                "cell": cell,
+                "sensorid": key[0],
+                "conValue": values[at],
+                "whole": whole,
+                "part": part,
+                "step": step,
+                "probe": probe,
+            }
+        )
+
+
+def _shifted(values: np.ndarray, first: int) -> np.ndarray:
+    """The value before each, in integers: cell ids do not fit into floats."""
+    return np.concatenate([[first], values[:-1]]).astype("int64")
 
 
 def pack_blocks(changes: pd.DataFrame, block_rows: int) -> pd.DataFrame:
-    """Changes of one cell and stretch of time, in order, as blocks with their own running sums."""
-    changes = changes.sort_values(["timestamp", "sensorid"], kind="stable", ignore_index=True)
+    """Changes of cells and stretches of time, those of each in order, as blocks with their own running sums."""
+    own = changes.groupby(["cell", "stretch"], dropna=False, sort=False).ngroup()
+    changes = changes.assign(own=own).sort_values(["own", "timestamp", "sensorid"], kind="stable", ignore_index=True)
+    own = changes["own"].to_numpy()
+    first = np.flatnonzero(np.diff(own, prepend=-1))
     # Running sums of a block stay within 64 bits.
-    largest = int(changes["whole"].abs().max())
-    size = max(1, min(block_rows, (1 << 62) // max(1, largest)))
-    out = []
-    for start in range(0, len(changes), size):
-        own = changes.iloc[start : start + size]
-        sums = {name: own[name].to_numpy("int64").cumsum() for name in ("whole", "part", "step")}
-        probe = own["probe"].to_numpy(bool)
-        rows = pa.record_batch(
-            [
-                pa.array(own["timestamp"].to_numpy("datetime64[us]").astype("int64")[probe]),
-                pa.array(own["sensorid"].to_numpy(object)[probe], pa.string()),
-                pa.array(own["conValue"].to_numpy("float64")[probe]),
-                *(pa.array(total[probe]) for total in sums.values()),
-            ],
-            ["time", "sensorid", "value", *sums],
-        )
-        out.append(
-            {
-                "cell": changes["cell"].iloc[0],
-                "stretch": changes["stretch"].iloc[0],
-                "number": start,
-                **{name: total[-1] for name, total in sums.items()},
-                "rows": _packed(rows),
-            }
-        )
-    return pd.DataFrame(out)
+    largest = np.maximum.reduceat(np.abs(changes["whole"].to_numpy("int64")), first)
+    size = np.maximum(1, np.minimum(block_rows, (1 << 62) // np.maximum(1, largest)))
+    number = np.arange(len(own)) - first[own]
+    starts = np.flatnonzero(number % size[own] == 0)
+    ends = np.append(starts[1:], len(own))
+    block = np.repeat(np.arange(len(starts)), ends - starts)
+    sums = {}
+    for name in ("whole", "part", "step"):
+        # Sums over all wrap around; the difference of two is right again.
+        total = changes[name].to_numpy("int64").cumsum()
+        sums[name] = total - np.where(starts > 0, total[starts - 1], 0)[block]
+    probe = changes["probe"].to_numpy(bool)
+    rows = pa.record_batch(
+        [
+            pa.array(changes["timestamp"].to_numpy("datetime64[us]").astype("int64")[probe]),
+            pa.array(changes["sensorid"].to_numpy(object)[probe], pa.string()),
+            pa.array(changes["conValue"].to_numpy("float64")[probe]),
+            *(pa.array(total[probe]) for total in sums.values()),
+        ],
+        ["time", "sensorid", "value", *sums],
+    )
+    counts = np.bincount(block[probe], minlength=len(starts)).tolist()
+    offsets = np.append(0, np.cumsum(counts)).tolist()
+    return pd.DataFrame(
+        {
+            "cell": changes["cell"].to_numpy()[starts],
+            "stretch": changes["stretch"].to_numpy()[starts],
+            "number": number[starts],
+            **{name: total[ends - 1] for name, total in sums.items()},
+            "rows": [_packed(rows.slice(at, count)) for at, count in zip(offsets, counts, strict=False)],
+        }
+    )
 
 
 def _packed(rows: pa.RecordBatch) -> bytes:
@@ -125,7 +150,7 @@ class CellSum(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         blocks = pd.concat(list(rows), ignore_index=True).sort_values(["stretch", "number"], ignore_index=True)
-        whole, part, sensors = tuple(self.state.get()) if self.state.exists() else (0, 0, 0)
+        whole, part, sensors = tuple(self.state.get() or (0, 0, 0))
         whole, out = int(whole), {"whole": [], "part": [], "step": []}
         for more, more_part, step in zip(blocks["whole"], blocks["part"], blocks["step"], strict=True):
             for name, value in (("whole", str(whole)), ("part", part), ("step", sensors)):
@@ -138,7 +163,19 @@ class CellSum(StatefulProcessor):
 
 
 def unpack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Readings of blocks with the mean of their cell."""
+    """Readings of blocks with the mean of their cell, those of small blocks together."""
+    held, count = [], 0
+    for rows in _unpacked(batches):
+        held.append(rows)
+        count += rows.num_rows
+        if count >= BATCH_ROWS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, count = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block in batch.to_pylist():
             rows = pa.ipc.open_stream(block["rows"]).read_next_batch()
@@ -202,9 +239,12 @@ def neighbor_mean_stream(
         timeMode="None",
     )
     stretch = F.floor(F.unix_seconds("timestamp") / stretch_seconds)
+    partitions = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Stretches may be many and small, so a group of them is packed in one call.
+    group = F.pmod(F.xxhash64("cell", "stretch"), F.lit(partitions * PACK_GROUPS))
     blocks = (
         changes.withColumn("stretch", stretch)
-        .groupBy("cell", "stretch")
+        .groupBy(group.alias("group"))
         .applyInPandas(lambda frame: pack_blocks(frame, block_rows), _BLOCK)
     )
     carried = blocks.groupBy("cell").transformWithStateInPandas(
@@ -213,7 +253,6 @@ def neighbor_mean_stream(
         outputMode="Append",
         timeMode="None",
     )
-    partitions = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return carried.repartition(partitions).mapInArrow(unpack_blocks, _MEAN).unionByName(odd)
 
 
