@@ -213,12 +213,13 @@ def neighbor_mean_stream(
 
     Inside a micro-batch readings are taken in event-time order. Readings that
     come later than newer ones of their sensor are compared, but do not change
-    what is known. None is dropped or held back, so no watermark is needed.
+    what is known. None is dropped or held back but those without a time, so no
+    watermark is needed.
     Values that cannot be summed exactly come out with a NULL mean. A task sums
     the readings of one cell in ``stretch_seconds``.
     """
     use_rocksdb(readings.sparkSession)
-    every = comparable_readings(readings, include_unconverted)
+    every = comparable_readings(readings, include_unconverted).where(F.col("timestamp").isNotNull())
     odd = every.where(~fits()).select(
         "timestamp", "sensorid", "gridCell", "conValue", F.lit(None).cast("double").alias("cellMean")
     )
