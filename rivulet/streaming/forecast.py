@@ -241,12 +241,13 @@ def forecast_stream(
     A window is evaluated once, when readings as late as ``disorder`` plus ``lateness`` have
     had their chance. With ``refire`` it is evaluated when the disorder has passed, and
     again, as the next ``revision``, whenever readings come that are late by no more than
-    ``lateness``. Readings later than that are in no window.
+    ``lateness``. Readings later than that, and those without a time, are in no window.
     """
     use_rocksdb(readings.sparkSession)
     windows = Sliding(size, slide)
     delay, late = duration_seconds(disorder), duration_seconds(lateness)
     rows = forecastable(readings, "conValue", include_unconverted).select("sensorid", "timestamp", "conValue")
+    rows = rows.where(F.col("timestamp").isNotNull())
     rows = with_event_time(rows, f"{delay if refire else delay + late} seconds")
     # The watermark stays with the query but leaves the column: the state itself tells what is too late.
     rows = rows.withColumn("timestamp", F.timestamp_micros(F.unix_micros("timestamp")))
