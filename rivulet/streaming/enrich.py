@@ -78,7 +78,7 @@ class Versions:
         while self.keep and len(numbers) > self.keep:
             self.buckets.removeKey((parameter, numbers.pop(0)))
             older = True
-        if by_bucket or older != had:
+        if by_bucket or older != had or not self.index.containsKey((parameter,)):
             self.index.updateValue((parameter,), (numbers, older))
 
     def before(self, parameter: str, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -86,7 +86,7 @@ class Versions:
         texts, beyond = np.full(len(times), None, dtype=object), np.zeros(len(times), dtype=bool)
         numbers, older = self._at(parameter)
         if not numbers:
-            return texts, beyond | older, older
+            return texts, beyond | older, older or self.index.containsKey((parameter,))
         places = np.searchsorted(numbers, times // self.width, side="right") - 1
         for place in np.unique(places).tolist():
             rows = places == place
@@ -125,6 +125,8 @@ class AttributeState(StatefulProcessor):
 
     def _add(self, rows: pd.DataFrame, older: bool = False) -> None:
         for parameter, own in rows.groupby("parameter", sort=False):
+            # An update without a time is valid at none, but the parameter is known.
+            own = own[own["timestamp"].notna()]
             self.versions.add(parameter, list(zip(_micros(own["timestamp"]).tolist(), own["value"], strict=True)), older)
 
     def _resolve(self, sensorid: str, times: np.ndarray, values: np.ndarray) -> pd.DataFrame:
@@ -146,7 +148,9 @@ class AttributeState(StatefulProcessor):
         is_update = batch["parameter"].notna()
         if is_update.any():
             news = batch[is_update].sort_values("version", kind="stable")
-            self._add(news[news["value"].notna()])
+            # As in the archive, no sensor is the same as another without a name.
+            if pd.notna(key[0]):
+                self._add(news[news["value"].notna()])
             if self.pass_on:
                 given = {"sensorid": key[0], "beyond": False} | {c: news[c].to_numpy() for c in ("timestamp", "parameter", "value")}
                 yield pd.DataFrame({c: given.get(c) for c in _COLUMNS}, index=range(len(news)), dtype=object)
