@@ -3,7 +3,8 @@
 Documents are taken in blocks. A block's distinct n-grams with their counts are exploded by
 ranges of their hash; a shard adds up the count table of its range and joins it back to
 the blocks' n-grams; a block sums its documents' scores. Only n-grams of blocks and their
-counts travel, so no word is hot: it comes once per block.
+counts travel, so no word is hot: it comes once per block. Blocks are small and their texts
+compressed, as executors hold several whole rows at once.
 
 A document is no evidence for itself: its own occurrences are taken off every count. With
 counts ``c`` so reduced and ``N`` words in the other documents, a word ``w`` after ``v``
@@ -16,7 +17,7 @@ other document has words. Repeated rows count as documents of their own.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import count
 
 import numpy as np
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 from rivulet.llm import common
 from rivulet.llm.decontamination import words_of
 
-_BLOCK = "block long, doc_ids array<long>, texts array<string>, n_words long"
+_BLOCK = "block long, rows binary, n_words long"
+#: Characters of a block's texts. Smaller blocks share fewer n-grams, so more of them travel.
+_BLOCK_SIZE = 4 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -40,7 +43,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class BlockGrams:
     """The words and word pairs of a block's texts, by 64-bit hash."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: Iterable[str]):
         import xxhash
 
         numbers: dict[bytes, int] = defaultdict(count().__next__)
@@ -49,7 +52,7 @@ class BlockGrams:
             words = words_of(text)
             found.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words)))
         self.sizes = np.array([len(f) for f in found])
-        self.doc = np.repeat(np.arange(len(texts)), self.sizes)
+        self.doc = np.repeat(np.arange(len(found)), self.sizes)
         local = np.concatenate(found) if found else np.empty(0, np.int64)
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in numbers), dtype=np.uint64, count=len(numbers))
         self.word_keys, place = np.unique(hashes, return_inverse=True)
@@ -85,25 +88,43 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(_numbers(data), dtype=np.uint64)
 
 
+def _stored(ids: list, texts: list[str]) -> bytes:
+    """Documents of a block as compressed bytes."""
+    rows = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)
+    with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def stored_rows(data: bytes) -> pa.RecordBatch:
+    """The ``doc_id`` and ``text`` of the documents of a block."""
+    return pa.ipc.open_stream(data).read_next_batch()
+
+
+def _texts(rows: pa.RecordBatch) -> Iterator[str]:
+    return (text.as_py() for text in rows.column("text"))
+
+
 def text_table(documents: DataFrame) -> DataFrame:
     """The documents in blocks of bounded size, one row each."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = count(TaskContext.get().partitionId() << 32)
-        for ids, block in common.text_blocks(batches):
+        for ids, block in common.text_blocks(batches, max_bytes=_BLOCK_SIZE):
             n = sum(len(words_of(text)) for text in block)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([next(numbers)], pa.int64()),
-                    pa.array([ids], pa.list_(pa.int64())),
-                    pa.array([block], pa.list_(pa.string())),
+                    pa.array([_stored(ids, block)], pa.binary()),
                     pa.array([n], pa.int64()),
                 ],
-                ["block", "doc_ids", "texts", "n_words"],
+                ["block", "rows", "n_words"],
             )
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return common.written(texts.mapInArrow(gather, _BLOCK), "blocks", "zstd")
+    return common.written(texts.mapInArrow(gather, _BLOCK), "blocks", "uncompressed")
 
 
 def count_tables(blocks: DataFrame, shards: int) -> DataFrame:
@@ -112,9 +133,9 @@ def count_tables(blocks: DataFrame, shards: int) -> DataFrame:
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, texts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 rows = []
-                for order, keys, ids in BlockGrams(texts.as_py()).orders():
+                for order, keys, ids in BlockGrams(_texts(stored_rows(data.as_py()))).orders():
                     times = np.bincount(ids, minlength=len(keys)).astype("<u4")
                     edges = np.searchsorted(keys, np.array([width * s for s in range(shards)], dtype=np.uint64))
                     for shard, (a, b) in enumerate(zip(edges, [*edges[1:], len(keys)], strict=True)):
@@ -138,7 +159,7 @@ def count_tables(blocks: DataFrame, shards: int) -> DataFrame:
             {n: group.column(n) for n in ("block", "gram_order", "shard")} | {"counts": pa.array(counts, pa.binary())}
         )
 
-    rows = blocks.select("block", "texts").mapInArrow(
+    rows = blocks.select("block", "rows").mapInArrow(
         explode, "shard int, gram_order int, block long, grams binary, times binary"
     )
     return rows.groupBy("shard", "gram_order").applyInArrow(
@@ -162,21 +183,20 @@ def score_documents(documents: DataFrame, alpha: float = 0.4) -> DataFrame:
             for n in (1, 2)
         }
         return pa.Table.from_batches(
-            _scores(ids, block, tables, total, alpha)
-            for ids, block in zip(texts.column("doc_ids").to_pylist(), texts.column("texts").to_pylist(), strict=True)
+            _scores(stored_rows(data.as_py()), tables, total, alpha) for data in texts.column("rows")
         )
 
     return (
-        blocks.select("block", "doc_ids", "texts")
+        blocks.select("block", "rows")
         .groupBy("block")
         .cogroup(counts.groupBy("block"))
         .applyInArrow(score, "doc_id long, n_words long, n_backoff long, lm_score double")
     )
 
 
-def _scores(ids: list, texts: list[str], tables: dict[int, np.ndarray], total: int, alpha: float) -> pa.RecordBatch:
-    grams = BlockGrams(texts)
-    n = len(texts)
+def _scores(rows: pa.RecordBatch, tables: dict[int, np.ndarray], total: int, alpha: float) -> pa.RecordBatch:
+    grams = BlockGrams(_texts(rows))
+    n = rows.num_rows
     words = tables[1][grams.words] - grams.own(grams.words, grams.doc, len(grams.word_keys))
     others = (total - grams.sizes)[grams.doc]
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -188,6 +208,6 @@ def _scores(ids: list, texts: list[str], tables: dict[int, np.ndarray], total: i
         mean = np.bincount(grams.doc, weights=score, minlength=n) / grams.sizes
     valid = np.isfinite(mean)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(grams.sizes, pa.int64()), pa.array(backed), pa.array(mean, mask=~valid)],
+        [rows.column("doc_id"), pa.array(grams.sizes, pa.int64()), pa.array(backed), pa.array(mean, mask=~valid)],
         ["doc_id", "n_words", "n_backoff", "lm_score"],
     )

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import time
@@ -612,6 +613,20 @@ def test_lm_scores_equal_brute_force(spark, texts):
     assert lm_scores.score_documents(df.where("false")).count() == 0
 
 
+def test_lm_score_blocks_are_small_rows(spark):
+    """An executor holds several rows of blocks at once, in Spark and in Python."""
+    texts = [" ".join(base_text(seed, 2000)) for seed in range(700)] + [None, ""]
+    df = documents(spark, texts, [*range(700), None, 700]).coalesce(1)
+    blocks = lm_scores.text_table(df).collect()
+    assert sum(map(len, texts[:700])) > 6 << 20
+    assert max(len(pickle.dumps(row)) for row in blocks) < 3 << 20
+    found = [row for block in blocks for row in lm_scores.stored_rows(block.rows).to_pylist()]
+    key = lambda row: (row["doc_id"] is None, row["doc_id"])
+    expected = [{"doc_id": i, "text": t or ""} for i, t in zip([*range(700), None, 700], texts, strict=True)]
+    assert sorted(found, key=key) == sorted(expected, key=key)
+    assert sum(block.n_words for block in blocks) == 700 * 2000
+
+
 # Near-duplicate vectors
 
 
